@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.quality import COLUMNS_PER_PASS, observed_text
-from quayside.operators.values import quantiles, unpivot_values, value_counts, value_stats
+from quayside.operators.values import quantiles, row_digest, value_counts, value_stats
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -75,9 +75,16 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
 
 
 def profile_table(df: DataFrame) -> DataFrame:
-    """Rows, columns, rows that repeat another row, and missing cells."""
+    """Rows, columns, rows that repeat another row, and missing cells.
+
+    Rows are compared by digest, so 32 bytes of each are shuffled instead of all its columns.
+    """
     missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in df.columns])
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("group_rows"), F.sum(missing).alias("group_missing"))
+    groups = (
+        df.select(row_digest(df).alias("digest"), missing.alias("missing"))
+        .groupBy("digest")
+        .agg(F.count(F.lit(1)).alias("group_rows"), F.sum("missing").alias("group_missing"))
+    )
     return groups.agg(
         F.coalesce(F.sum("group_rows"), F.lit(0)).cast("bigint").alias("row_count"),
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
@@ -137,13 +144,3 @@ def profile_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         F.coalesce("found", F.lit(0)).cast("bigint").alias("records"),
     )
 
-
-__all__ = [
-    "numeric_columns",
-    "profile_columns",
-    "profile_histogram",
-    "profile_quantiles",
-    "profile_table",
-    "profile_topk",
-    "unpivot_values",
-]

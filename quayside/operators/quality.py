@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from quayside.operators.suites import Expectation, read_suite
 from quayside.operators.values import (
     attach_by_value,
+    compact,
     quantiles,
-    value_counts,
     value_stats,
     value_table,
     value_text,
@@ -446,11 +446,17 @@ def unexpected_rows(df: DataFrame, suite, keys: Sequence[str]) -> DataFrame:
         parts.append(df.select(*keys, F.inline(F.array_compact(F.array(*cells)))))
     for item in items:
         if item.name == VALUE_CHECKS[0]:
-            again = value_table(value_counts(df, [item.column]).where(F.col("n") > 1).select("value", "n"))
-            again = again.withColumn("times", F.col("n"))
-            narrow = df.select(*keys, F.lit(item.name).alias("expectation"), F.lit(item.column).alias("column_name"),
-                               value_text(df, item.column).alias("value"))
-            found = attach_by_value(narrow, F.col("value"), again, "times")
+            text = value_text(df, item.column)
+            counted = df.select(compact(text).alias("value")).where(F.col("value").isNotNull()).groupBy("value")
+            again = counted.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+            table = value_table(again.withColumn("times", F.col("n")))
+            narrow = df.select(
+                *keys,
+                F.lit(item.name).alias("expectation"),
+                F.lit(item.column).alias("column_name"),
+                text.alias("value"),
+            )
+            found = attach_by_value(narrow, compact(F.col("value")), table, "times")
             parts.append(found.where(F.col("times").isNotNull()).drop("times"))
     if not parts:
         empty = df.select(*keys).schema.add("expectation", "string").add("column_name", "string").add("value", "string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +19,9 @@ class SurrogateMap:
         self.path = path
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(MAP_SCHEMA).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], MAP_SCHEMA)
+        # The map is made, empty, when there is none.
+        self.spark.createDataFrame([], MAP_SCHEMA).write.mode("ignore").parquet(self.path)
+        return self.spark.read.schema(MAP_SCHEMA).parquet(self.path)
 
     def extend(self, df: DataFrame, column: str) -> DataFrame:
         """Number the values of ``column`` that are new, in their order, above all known numbers.

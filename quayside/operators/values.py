@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from quayside.session import durable
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number below.
+_DIGEST_FROM = 64  # characters; a marked digest has 65
 
 
 def value_text(df: DataFrame, column: str) -> Column:
@@ -22,31 +23,62 @@ def value_text(df: DataFrame, column: str) -> Column:
     return value.cast("string")
 
 
-def unpivot_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column_name, value`` for every value that is not null: one scan for all columns."""
-    cells = [F.struct(F.lit(c).alias("column_name"), value_text(df, c).alias("value")) for c in columns]
+def compact(text: Column) -> Column:
+    """Long texts as their SHA-256 digest, marked so that no short text is equal to one.
+
+    What is shuffled to compare whole texts is then bounded, whatever their length.
+    """
+    long = F.length(text) > _DIGEST_FROM
+    return F.when(long, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
+def unpivot_values(df: DataFrame, columns: Sequence[str], value) -> DataFrame:
+    """``column_at, value`` for every value that is not null: one scan for all columns.
+
+    The column goes by its place in ``columns``, which is smaller to shuffle than its name.
+    """
+    cells = [F.struct(F.lit(at).alias("column_at"), value(c).alias("value")) for at, c in enumerate(columns)]
     return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
+def column_named(columns: Sequence[str]) -> Column:
+    """The name of the column at ``column_at``."""
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col("column_at")).alias("column_name")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name, value, n``: one shuffle for all columns, of pre-counted values."""
-    return unpivot_values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    cells = unpivot_values(df, columns, lambda c: value_text(df, c))
+    counted = cells.groupBy("column_at", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(column_named(columns), "value", "n")
 
 
 def value_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """For each column with values: their number, the distinct ones, and those that occur again."""
+    cells = unpivot_values(df, columns, lambda c: compact(value_text(df, c)))
     repeated = F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0)))
     return (
-        value_counts(df, columns)
-        .groupBy("column_name")
+        cells.groupBy("column_at", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("column_at")
         .agg(
             F.sum("n").alias("value_count"),
             F.count(F.lit(1)).alias("distinct_count"),
             repeated.alias("repeated_count"),
         )
+        .select(column_named(columns), "value_count", "distinct_count", "repeated_count")
     )
 
 
+def row_digest(df: DataFrame) -> Column:
+    """The SHA-256 digest of a whole row: equal for rows that are equal, nulls included."""
+    cells = []
+    for name in df.columns:
+        text = value_text(df, name)
+        cells.append(F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text), F.lit(":"), text)))
+    return F.unhex(F.sha2(F.concat(*cells), 256))
+
+
 def in_order(df: DataFrame, *order: str) -> DataFrame:
     """Written in range partitions of ``order``; ``span`` is the partition, ``place`` the row in it.
 
@@ -80,19 +112,14 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     Values are counted, put in order over range partitions, and only the partitions that hold a
     wanted rank are looked into.
     """
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
-    counted = (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ordered = in_order(counted, "column_name", "value")
-    sizes = ordered.groupBy("column_name", "span").agg(F.sum("n").alias("size"))
-    spans = W.partitionBy("column_name")
+    cells = unpivot_values(df, columns, lambda c: F.col(c).cast("double"))
+    counted = cells.groupBy("column_at", "value").agg(F.count(F.lit(1)).alias("n"))
+    ordered = in_order(counted, "column_at", "value")
+    sizes = ordered.groupBy("column_at", "span").agg(F.sum("n").alias("size"))
+    spans = W.partitionBy("column_at")
     before = spans.orderBy("span").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
-        "column_name",
+        "column_at",
         "span",
         "size",
         F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"),
@@ -107,9 +134,9 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
         .where((F.col("start") <= F.col("high")) & (F.col("start") + F.col("size") > F.col("low")))
     )
     # At most two partitions for each column and quantile.
-    inside = W.partitionBy("column_name", "span").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
-    needed = wanted.select("column_name", "span").distinct()
-    near = ordered.join(F.broadcast(needed), ["column_name", "span"], "left_semi").withColumn(
+    inside = W.partitionBy("column_at", "span").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    needed = wanted.select("column_at", "span").distinct()
+    near = ordered.join(F.broadcast(needed), ["column_at", "span"], "left_semi").withColumn(
         "ahead", F.coalesce(F.sum("n").over(inside), F.lit(0))
     )
     first = F.col("start") + F.col("ahead")
@@ -118,12 +145,12 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
         return F.max(F.when((first <= F.col(rank)) & (F.col(rank) < first + F.col("n")), F.col("value")))
 
     ends = (
-        near.join(F.broadcast(wanted), ["column_name", "span"])
-        .groupBy("column_name", "prob", "part")
+        near.join(F.broadcast(wanted), ["column_at", "span"])
+        .groupBy("column_at", "prob", "part")
         .agg(at("low").alias("below"), at("high").alias("above"))
     )
     value = F.col("below") + (F.col("above") - F.col("below")) * F.col("part")
-    return ends.select("column_name", "prob", value.alias("quantile"))
+    return ends.select(column_named(columns), "prob", value.alias("quantile"))
 
 
 def value_table(values: DataFrame) -> DataFrame:

@@ -4,27 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_KEY = ("audit_id", "job_type", "job_status", "no_of_retries", "job_start_time")
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame | None:
-    """The audit table, or None before the first record."""
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
-        return None
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit table; records of different profiles may have different fields."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def append_audit(records: DataFrame, path: str, key: Sequence[str] = RECORD_KEY) -> str:
     """Append the records whose key is not in the table, so that a repeated call adds nothing."""
-    stored = read_audit(records.sparkSession, path)
-    if stored is not None:
-        known = stored.select(*[F.col(k).alias(f"known_{k}") for k in key])
-        same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in key]
-        records = records.join(known, same, "left_anti")
-    records.write.mode("append").parquet(path)
+    records.limit(0).write.mode("ignore").parquet(path)  # makes the table when there is none
+    stored = records.sparkSession.read.schema(records.select(*key).schema).parquet(path)
+    known = stored.select(*[F.col(k).alias(f"known_{k}") for k in key])
+    same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in key]
+    records.join(known, same, "left_anti").write.mode("append").parquet(path)
     return path

@@ -9,36 +9,49 @@ from pyspark.sql import functions as F
 
 FORMATS = ("csv", "parquet", "json", "orc")
 
+# Text formats keep times to the microsecond; their default stops at the millisecond.
+TEXT_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def write_options(fmt: str) -> dict[str, str]:
+    header = {"header": "true"} if fmt == "csv" else {}
+    return {**header, **(TEXT_OPTIONS if fmt in ("csv", "json") else {})}
+
 
 def sink_csv(df: DataFrame, path: str) -> str:
-    df.write.csv(path, header=True, mode="overwrite")
-    return path
+    return sink_format(df, path, "csv")
 
 
 def sink_format(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> str:
     """Write in one of the served formats; CSV gets a header line."""
     if fmt not in FORMATS:
         raise ValueError(f"output format {fmt!r} is not one of {', '.join(FORMATS)}")
-    writer = df.write.format(fmt).mode(mode)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.save(path)
+    df.write.format(fmt).mode(mode).options(**write_options(fmt)).save(path)
     return path
 
 
-def sink_partitioned(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet") -> str:
+def sink_partitioned(
+    df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet", files_per_value: int | None = None
+) -> str:
     """Write one folder per partition value; a rewrite replaces only the partitions it holds.
 
     Rows stay in the tasks that made them, so a value that holds a large share of the rows is
-    written by many tasks.
+    written by many tasks. Where the column has many values that makes many small files:
+    ``files_per_value`` gathers the rows of each value into that many tasks first, still never one.
     """
     if not columns:
         return sink_format(df, path, fmt)
+    if files_per_value:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
+        df = df.repartition(*columns, salt)
     (
         df.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
+        .options(**write_options(fmt))
         .partitionBy(*columns)
         .save(path)
     )

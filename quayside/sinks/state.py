@@ -7,7 +7,6 @@ overwritten while it is read. One writer at a time.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +36,10 @@ class StateTable:
 
     def version(self) -> int:
         """The newest committed version, 0 before the first."""
-        try:
-            commits = self.spark.read.schema("version bigint").parquet(f"{self.path}/commits")
-        except AnalysisException:
-            return 0
-        return commits.agg(F.max("version")).first()[0] or 0
+        commits = f"{self.path}/commits"
+        # The list of commits is made, empty, when there is none.
+        self.spark.createDataFrame([], "version bigint").write.mode("ignore").parquet(commits)
+        return self.spark.read.schema("version bigint").parquet(commits).agg(F.max("version")).first()[0] or 0
 
     def read(self) -> DataFrame:
         version = self.version()

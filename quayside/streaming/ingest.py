@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -98,12 +97,9 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_stream_audit(spark: SparkSession, audit_path: str) -> DataFrame | None:
-    """The batch records, or None before the first batch."""
-    try:
-        return spark.read.parquet(audit_path).drop("batch")
-    except AnalysisException:
-        return None
+def read_stream_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    """The batch records."""
+    return spark.read.parquet(audit_path).drop("batch")
 
 
 __all__ = ["STREAMING", "read_batches", "read_stream_audit", "stream_audit", "stream_files", "stream_ingest"]
