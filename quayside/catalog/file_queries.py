@@ -238,7 +238,7 @@ def _count_csv(spark, t):
 
 @query("count_csv_scan", "select count(*) as records from {documents}")
 def _count_csv_scan(spark, t):
-    path = run_folder(spark, "count-quoted")
+    path = f"{run_folder(spark, 'count-quoted')}/in"
     t.documents.write.option("header", True).option("escape", '"').csv(path)
     quoted = spark.read.schema(t.documents.schema).option("header", True).option("multiLine", True)
     return count_rows(quoted.option("escape", '"').csv(path))

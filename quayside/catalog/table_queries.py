@@ -10,6 +10,7 @@ from quayside.catalog.fixtures import COMPLEX_TYPES
 from quayside.catalog.registry import query
 from quayside.functions import tokens
 from quayside.operators.profile import (
+    preview,
     profile_columns,
     profile_histogram,
     profile_quantiles,
@@ -110,6 +111,11 @@ def _redact(spark, t):
 # --- profiles ---------------------------------------------------------------------------------
 
 
+@query("preview", "select * from {orders} order by o_orderdate desc, o_orderkey limit 20")
+def _preview(spark, t):
+    return preview(t.orders, F.desc("o_orderdate"), "o_orderkey")
+
+
 def _profile_sql(source: str, columns: dict[str, str]) -> str:
     """One SELECT for each column: ``columns`` gives the type as Spark names it."""
     parts = []

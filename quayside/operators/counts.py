@@ -21,6 +21,11 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("records"))
 
 
+def scalar_first(df: DataFrame):
+    """The first cell of a result of one row."""
+    return df.first()[0]
+
+
 def count_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
     """The number of rows a SQL query gives; ``{name}`` in the query stands for a table."""
     return spark.sql(count_text(query), **tables)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,17 +25,16 @@ def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs, cells = [F.count(F.lit(1)).alias("rows")], []
     for at, name in enumerate(columns):
         value, kind = F.col(name), df.schema[name].dataType
-        number = value if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
-        text = value if isinstance(kind, T.StringType) else F.lit(None).cast("string")
-        aggs += [
-            F.count(value).alias(f"seen_{at}"),
-            F.min(value).alias(f"min_{at}"),
-            F.max(value).alias(f"max_{at}"),
-            F.avg(number).alias(f"mean_{at}"),
-            F.stddev_samp(number).alias(f"std_{at}"),
-            F.min(F.length(text)).alias(f"short_{at}"),
-            F.max(F.length(text)).alias(f"long_{at}"),
-        ]
+        measures = {"seen": F.count(value), "min": F.min(value), "max": F.max(value)}
+        if isinstance(kind, T.NumericType):
+            measures |= {"mean": F.avg(value), "std": F.stddev_samp(value)}
+        if isinstance(kind, T.StringType):
+            measures |= {"short": F.min(F.length(value)), "long": F.max(F.length(value))}
+        aggs += [measure.alias(f"{label}_{at}") for label, measure in measures.items()]
+
+        def found(label: str, absent: str, at: int = at, measures: dict = measures) -> Column:
+            return F.col(f"{label}_{at}") if label in measures else F.lit(None).cast(absent)
+
         nulls = F.col("rows") - F.col(f"seen_{at}")
         cells.append(
             F.struct(
@@ -46,10 +45,10 @@ def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.when(F.col("rows") > 0, F.lit(100.0) * nulls / F.col("rows")).alias("null_pct"),
                 observed_text(F.col(f"min_{at}"), kind).alias("min_value"),
                 observed_text(F.col(f"max_{at}"), kind).alias("max_value"),
-                F.round(F.col(f"mean_{at}"), 4).alias("mean_value"),
-                F.round(F.col(f"std_{at}"), 4).alias("std_value"),
-                F.col(f"short_{at}").alias("min_length"),
-                F.col(f"long_{at}").alias("max_length"),
+                F.round(found("mean", "double"), 4).cast("double").alias("mean_value"),
+                F.round(found("std", "double"), 4).cast("double").alias("std_value"),
+                found("short", "int").alias("min_length"),
+                found("long", "int").alias("max_length"),
             )
         )
     return df.agg(*aggs).select(F.inline(F.array(*cells)))
@@ -74,6 +73,11 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
     return joined.withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0).cast("bigint")))
 
 
+def preview(df: DataFrame, *order: str, rows: int = 20) -> DataFrame:
+    """The first rows in an order: each task keeps its own first rows before they meet."""
+    return df.orderBy(*order).limit(rows)
+
+
 def profile_table(df: DataFrame) -> DataFrame:
     """Rows, columns, rows that repeat another row, and missing cells.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from quayside.session import durable
 
@@ -55,7 +55,12 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def value_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """For each column with values: their number, the distinct ones, and those that occur again."""
-    cells = unpivot_values(df, columns, lambda c: compact(value_text(df, c)))
+
+    def key(column: str) -> Column:
+        text = value_text(df, column)
+        return compact(text) if isinstance(df.schema[column].dataType, StringType) else text
+
+    cells = unpivot_values(df, columns, key)
     repeated = F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0)))
     return (
         cells.groupBy("column_at", "value")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quayside.functions.paths import RUN_PARENT, SECURED_PARENT
+from quayside.operators.counts import scalar_first
 from quayside.operators.audit import DQ, audit_record, union_audit
 from quayside.operators.incremental import filter_incremental, next_watermark
 from quayside.operators.profile import profile_columns
@@ -21,7 +22,7 @@ from quayside.plans.stages import stages_for
 from quayside.session import durable
 from quayside.sinks.audit_log import append_audit
 from quayside.sinks.files import sink_format, sink_partitioned
-from quayside.sinks.state import StateTable
+from quayside.sinks.state import StateTable, store_watermark
 from quayside.sinks.warehouse import add_load_timestamp, sink_warehouse_gated
 from quayside.sources.files import scan_csv
 
@@ -144,7 +145,11 @@ def land(
         match=read == wrote,
     )
     if config.state_path and row["match"]:
-        StateTable(spark, config.state_path).update_processed(config.asset_id, config.is_processed)
+        state = StateTable(spark, config.state_path)
+        state.update_processed(config.asset_id, config.is_processed)
+        newest = None if watermark is None else scalar_first(watermark)
+        if newest is not None and "incremental_column_value" in state.read().columns:
+            state.replace(store_watermark(state.read(), config.asset_id, newest))
 
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     run = spark.range(1).select(

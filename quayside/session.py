@@ -50,8 +50,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
-    """A folder name in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/quayside/{label}-{uuid.uuid4().hex}"
+    """A new folder in the shared folder, for one run alone; it goes when the driver ends.
+
+    What must outlive the driver belongs into a folder of the caller's.
+    """
+    path = f"{shared_folder(spark)}/quayside/{label}-{uuid.uuid4()}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:

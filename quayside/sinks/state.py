@@ -27,6 +27,12 @@ def mark_processed(state: DataFrame, runs: DataFrame) -> DataFrame:
     return joined.withColumn("is_processed", marked).select(*state.columns)
 
 
+def store_watermark(state: DataFrame, asset_id: str, value) -> DataFrame:
+    """The newest loaded value of an asset's growing column, kept as text for its next load."""
+    text = F.when(F.col("asset_id") == asset_id, F.lit(str(value))).otherwise(F.col("incremental_column_value"))
+    return state.withColumn("incremental_column_value", text)
+
+
 class StateTable:
     """Versions of a small table under one folder."""
 

@@ -87,6 +87,23 @@ def test_increments_and_watermark(spark, folder):
     assert report.watermark.first()[0] == dt.date(2024, 1, 3)
 
 
+def test_watermark_is_stored_for_the_next_load(spark, folder):
+    raw(folder)
+    state = StateTable(spark, f"{folder}/state")
+    columns = "asset_id string, is_processed string, incremental_column_value string"
+    state.replace(spark.createDataFrame([("1001", "false", "2024-01-01"), ("1002", "true", "x")], columns))
+    settings = config(
+        folder,
+        schema="id int, card string, at date",
+        incremental_column="at",
+        incremental_column_value="2024-01-01",
+        state_path=f"{folder}/state",
+    )
+    land(spark, settings, RUN_TS)
+    got = sorted(map(tuple, state.read().collect()))
+    assert got == [("1001", "Success", "2024-01-03"), ("1002", "true", "x")]
+
+
 def test_warehouse_copy_carries_the_load_time(spark, folder):
     raw(folder)
     land(spark, config(folder, dw_load_ind="True"), RUN_TS)
