@@ -10,9 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.quality import COLUMNS_PER_PASS, observed_text
-from quayside.operators.values import quantiles, row_digest, value_counts, value_stats
+from quayside.operators.quality import observed_text
+from quayside.operators.values import count_values, quantiles, value_key, value_stats
 
+COLUMNS_PER_PASS = 10
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
@@ -20,6 +21,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def _passes(df: DataFrame, columns: Sequence[str]) -> list[list[str]]:
+    """Columns by the pass that measures them.
+
+    Texts go apart from the rest: one text minimum takes a whole aggregation off the fast path. A
+    pass is narrow enough for generated code, and each column is read by one pass alone.
+    """
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    others = [c for c in columns if c not in texts]
+    return [g[i : i + COLUMNS_PER_PASS] for g in (others, texts) for i in range(0, len(g), COLUMNS_PER_PASS)]
+
+
 def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One aggregation over some columns, turned into one row for each of them."""
     aggs, cells = [F.count(F.lit(1)).alias("rows")], []
@@ -61,8 +73,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
     of values.
     """
     columns = list(columns or df.columns)
-    groups = [columns[i : i + COLUMNS_PER_PASS] for i in range(0, len(columns), COLUMNS_PER_PASS)]
-    measured = reduce(DataFrame.unionByName, [_measures(df, group) for group in groups])
+    measured = reduce(DataFrame.unionByName, [_measures(df, group) for group in _passes(df, columns)])
     if exact:
         distinct = value_stats(df, columns).select("column_name", "distinct_count")
     else:
@@ -81,14 +92,11 @@ def preview(df: DataFrame, *order: str, rows: int = 20) -> DataFrame:
 def profile_table(df: DataFrame) -> DataFrame:
     """Rows, columns, rows that repeat another row, and missing cells.
 
-    Rows are compared by digest, so 32 bytes of each are shuffled instead of all its columns.
+    Rows are grouped by their values, long texts by digest, which bounds what is shuffled of each.
     """
     missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in df.columns])
-    groups = (
-        df.select(row_digest(df).alias("digest"), missing.alias("missing"))
-        .groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("group_rows"), F.sum("missing").alias("group_missing"))
-    )
+    keys = [value_key(df, name).alias(f"key_{at}") for at, name in enumerate(df.columns)]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"), F.sum(missing).alias("group_missing"))
     return groups.agg(
         F.coalesce(F.sum("group_rows"), F.lit(0)).cast("bigint").alias("row_count"),
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
@@ -100,11 +108,15 @@ def profile_table(df: DataFrame) -> DataFrame:
 def profile_topk(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The most frequent values of each column; equal counts are ordered by value.
 
-    Every task keeps only its own first ``k`` of each column before the values meet.
+    Every task keeps only its own first ``k`` before the values meet.
     """
+    tops = []
+    for column in columns:
+        counts = count_values(df, F.col(column)).select(F.col("value").cast("string").alias("value"), "n")
+        top = counts.orderBy(F.desc("n"), "value").limit(k)
+        tops.append(top.select(F.lit(column).alias("column_name"), "value", "n"))
     order = W.partitionBy("column_name").orderBy(F.desc("n"), "value")
-    ranked = value_counts(df, columns).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k)
+    return reduce(DataFrame.unionByName, tops).withColumn("rank", F.row_number().over(order))
 
 
 def profile_quantiles(

@@ -11,7 +11,7 @@ fails with the reason in ``error``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,18 +22,18 @@ from pyspark.sql import types as T
 from quayside.operators.suites import Expectation, read_suite
 from quayside.operators.values import (
     attach_by_value,
-    compact,
+    count_values,
     quantiles,
+    value_key,
     value_stats,
     value_table,
-    value_text,
 )
 
 RESULT_SCHEMA = (
     "expectation string, column_name string, args string, success boolean, observed string, "
     "element_count bigint, unexpected_count bigint, unexpected_pct double, error string"
 )
-COLUMNS_PER_PASS = 25
+CHECKS_PER_PASS = 40
 
 # What counts as an e-mail address and as a special character.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$"
@@ -398,18 +398,35 @@ def run_suite(df: DataFrame, suite) -> DataFrame:
         else:
             by_pass["agg"].append(item)
     parts = [df.sparkSession.createDataFrame(known, RESULT_SCHEMA)] if known or not items else []
-    parts += [_aggregate_pass(df, chunk) for chunk in _chunks(by_pass["agg"])]
+    parts += [_aggregate_pass(df, chunk) for chunk in _chunks(df, by_pass["agg"])]
     parts += [_value_pass(df, by_pass["values"])] if by_pass["values"] else []
     parts += [_median_pass(df, by_pass["median"])] if by_pass["median"] else []
     return reduce(DataFrame.unionByName, parts)
 
 
-def _chunks(items: Sequence[Expectation]) -> Iterable[list[Expectation]]:
-    """Checks by groups of columns: each column is read by one pass, and no pass grows too wide."""
-    order = list(dict.fromkeys(i.column for i in items))
-    group = {column: at // COLUMNS_PER_PASS for at, column in enumerate(order)}
-    for number in sorted(set(group.values())):
-        yield [i for i in items if group[i.column] == number]
+def _chunks(df: DataFrame, items: Sequence[Expectation]) -> list[list[Expectation]]:
+    """Checks by the pass that evaluates them.
+
+    A pass is narrow enough for generated code and keeps a column's checks together, so each column
+    is read once. The least and the greatest text go apart: one of them takes a whole aggregation
+    off the fast path.
+    """
+    def is_text(item: Expectation) -> bool:
+        ends = item.name in AGGREGATE_CHECKS[:2]
+        return ends and not isinstance(df.schema[item.column].dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
+
+    passes: list[list[Expectation]] = []
+    for kind in (False, True):
+        wanted = [i for i in items if is_text(i) == kind]
+        chunk: list[Expectation] = []
+        for column in dict.fromkeys(i.column for i in wanted):
+            group = [i for i in wanted if i.column == column]
+            if chunk and len(chunk) + len(group) > CHECKS_PER_PASS:
+                passes.append(chunk)
+                chunk = []
+            chunk = chunk + group
+        passes += [chunk] if chunk else []
+    return passes
 
 
 def summarize(results: DataFrame) -> DataFrame:
@@ -446,17 +463,16 @@ def unexpected_rows(df: DataFrame, suite, keys: Sequence[str]) -> DataFrame:
         parts.append(df.select(*keys, F.inline(F.array_compact(F.array(*cells)))))
     for item in items:
         if item.name == VALUE_CHECKS[0]:
-            text = value_text(df, item.column)
-            counted = df.select(compact(text).alias("value")).where(F.col("value").isNotNull()).groupBy("value")
-            again = counted.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+            again = count_values(df, value_key(df, item.column)).where(F.col("n") > 1)
             table = value_table(again.withColumn("times", F.col("n")))
             narrow = df.select(
                 *keys,
                 F.lit(item.name).alias("expectation"),
                 F.lit(item.column).alias("column_name"),
-                text.alias("value"),
+                F.col(item.column).alias("value"),
             )
-            found = attach_by_value(narrow, compact(F.col("value")), table, "times")
+            found = attach_by_value(narrow, value_key(narrow, "value"), table, "times")
+            found = found.withColumn("value", F.col("value").cast("string"))
             parts.append(found.where(F.col("times").isNotNull()).drop("times"))
     if not parts:
         empty = df.select(*keys).schema.add("expectation", "string").add("column_name", "string").add("value", "string")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import StringType
 
 from quayside.session import durable
 
@@ -15,14 +16,6 @@ _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row num
 _DIGEST_FROM = 64  # characters; a marked digest has 65
 
 
-def value_text(df: DataFrame, column: str) -> Column:
-    """The value as text, the same text for values that are equal."""
-    value = F.col(column)
-    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
-        value = value + F.lit(0.0)  # -0.0 counts as 0.0
-    return value.cast("string")
-
-
 def compact(text: Column) -> Column:
     """Long texts as their SHA-256 digest, marked so that no short text is equal to one.
 
@@ -32,56 +25,33 @@ def compact(text: Column) -> Column:
     return F.when(long, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
 
 
-def unpivot_values(df: DataFrame, columns: Sequence[str], value) -> DataFrame:
-    """``column_at, value`` for every value that is not null: one scan for all columns.
-
-    The column goes by its place in ``columns``, which is smaller to shuffle than its name.
-    """
-    cells = [F.struct(F.lit(at).alias("column_at"), value(c).alias("value")) for at, c in enumerate(columns)]
-    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
-
-
-def column_named(columns: Sequence[str]) -> Column:
-    """The name of the column at ``column_at``."""
-    return F.get(F.array(*[F.lit(c) for c in columns]), F.col("column_at")).alias("column_name")
+def value_key(df: DataFrame, column: str) -> Column:
+    """What is grouped to tell values apart: the value in its own type, long texts compacted."""
+    return compact(F.col(column)) if isinstance(df.schema[column].dataType, StringType) else F.col(column)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column_name, value, n``: one shuffle for all columns, of pre-counted values."""
-    cells = unpivot_values(df, columns, lambda c: value_text(df, c))
-    counted = cells.groupBy("column_at", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(column_named(columns), "value", "n")
+def count_values(df: DataFrame, key: Column) -> DataFrame:
+    """``value, n`` for values that are not null, counted before and after the shuffle."""
+    kept = df.select(key.alias("value")).where(F.col("value").isNotNull())
+    return kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """For each column with values: their number, the distinct ones, and those that occur again."""
+    """For each column: its values, the distinct ones among them, and those that occur again.
 
-    def key(column: str) -> Column:
-        text = value_text(df, column)
-        return compact(text) if isinstance(df.schema[column].dataType, StringType) else text
-
-    cells = unpivot_values(df, columns, key)
+    Each column is grouped alone and in its own type. On a columnar table that reads every column
+    once, and no row is multiplied; a text source is better copied into a columnar one first.
+    """
     repeated = F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0)))
-    return (
-        cells.groupBy("column_at", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("column_at")
-        .agg(
-            F.sum("n").alias("value_count"),
+    parts = []
+    for column in columns:
+        stats = count_values(df, value_key(df, column)).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("value_count"),
             F.count(F.lit(1)).alias("distinct_count"),
-            repeated.alias("repeated_count"),
+            F.coalesce(repeated, F.lit(0)).alias("repeated_count"),
         )
-        .select(column_named(columns), "value_count", "distinct_count", "repeated_count")
-    )
-
-
-def row_digest(df: DataFrame) -> Column:
-    """The SHA-256 digest of a whole row: equal for rows that are equal, nulls included."""
-    cells = []
-    for name in df.columns:
-        text = value_text(df, name)
-        cells.append(F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text), F.lit(":"), text)))
-    return F.unhex(F.sha2(F.concat(*cells), 256))
+        parts.append(stats.select(F.lit(column).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def in_order(df: DataFrame, *order: str) -> DataFrame:
@@ -117,9 +87,11 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     Values are counted, put in order over range partitions, and only the partitions that hold a
     wanted rank are looked into.
     """
-    cells = unpivot_values(df, columns, lambda c: F.col(c).cast("double"))
-    counted = cells.groupBy("column_at", "value").agg(F.count(F.lit(1)).alias("n"))
-    ordered = in_order(counted, "column_at", "value")
+    # A column goes by its place in the list, which is smaller to sort than its name.
+    counted = [
+        count_values(df, F.col(c).cast("double")).withColumn("column_at", F.lit(at)) for at, c in enumerate(columns)
+    ]
+    ordered = in_order(reduce(DataFrame.unionByName, counted), "column_at", "value")
     sizes = ordered.groupBy("column_at", "span").agg(F.sum("n").alias("size"))
     spans = W.partitionBy("column_at")
     before = spans.orderBy("span").rowsBetween(W.unboundedPreceding, -1)
@@ -155,7 +127,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
         .agg(at("low").alias("below"), at("high").alias("above"))
     )
     value = F.col("below") + (F.col("above") - F.col("below")) * F.col("part")
-    return ends.select(column_named(columns), "prob", value.alias("quantile"))
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("column_at"))
+    return ends.select(name.alias("column_name"), "prob", value.alias("quantile"))
 
 
 def value_table(values: DataFrame) -> DataFrame:
@@ -183,9 +156,7 @@ def attach_by_value(facts: DataFrame, key: Column, table: DataFrame, payload: st
     settled = F.col("hot_value").isNotNull() | F.col("look").isNull()
     spread = (1 + F.pmod(F.xxhash64(*names), F.lit(parts))).cast("int")
     slotted = seen.withColumn("slot", F.when(settled, spread).otherwise(F.lit(0)))
-    # A settled row looks up an empty text in a slot of its own; it finds nothing there.
-    look = F.when(settled, F.lit("")).otherwise(F.col("look"))
-    joined = slotted.withColumn("look", look).join(
+    joined = slotted.join(
         cold, (F.col("look") == F.col("cold_value")) & (F.col("slot") == F.col("cold_slot")), "left"
     )
     return joined.select(*names, F.coalesce("hot_payload", "cold_payload").alias(payload))

@@ -75,7 +75,7 @@ def test_topk_breaks_ties_by_value_and_prunes_before_the_shuffle(spark):
     df = spark.createDataFrame([(v,) for v in "ccbbaad"], "v string")
     got = profile.profile_topk(df, ["v"], 2)
     assert [(r["value"], r["n"], r["rank"]) for r in got.orderBy("rank").collect()] == [("a", 2, 1), ("b", 2, 2)]
-    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=2" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_histogram(spark):
