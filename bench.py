@@ -57,6 +57,7 @@ def main() -> None:
     conf = {
         "spark__sql__shuffle__partitions": cpus,
         "spark__ui__enabled": "false",
+        "spark__ui__showConsoleProgress": "false",
         "spark__driver__memory": os.environ.get("BENCH_MEMORY", "4g"),
         "spark__checkpoint__dir": os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="run-"),
     }

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.values import attach_by_value, number_values, value_table
-from quayside.session import durable
+from quayside.operators.values import attach_by_value, count_values, number_values, value_table
 
 MAP_SCHEMA = "value string, surrogate_id bigint"
 
@@ -26,22 +25,18 @@ class SurrogateMap:
     def extend(self, df: DataFrame, column: str) -> DataFrame:
         """Number the values of ``column`` that are new, in their order, above all known numbers.
 
-        Gives the table of the values in ``df`` with their counts and numbers. Only distinct values
-        are matched with the map, so a hot value weighs as much as any other.
+        Gives the values in ``df`` with their counts and numbers. Only distinct values are matched
+        with the map, so a hot value weighs as much as any other, and the match shares the
+        partitions in which the values were counted.
         """
-        value = F.col(column).cast("string")
-        counts = (
-            df.select(value.alias("value")).where(F.col("value").isNotNull()).groupBy("value").count()
-        ).withColumnRenamed("count", "n")
-        counts = durable(counts, "value-counts")
-        top = self.read().agg(F.max("surrogate_id")).first()[0] or 0
-        fresh = number_values(counts.select("value").join(self.read(), "value", "left_anti"), "value", "rank")
-        (
-            fresh.select("value", (F.col("rank") + F.lit(top)).cast("bigint").alias("surrogate_id"))
-            .write.mode("append")
-            .parquet(self.path)
-        )
-        return value_table(counts.join(self.read(), "value"))
+        known = self.read()
+        top = known.agg(F.max("surrogate_id")).first()[0] or 0
+        counts = count_values(df, F.col(column).cast("string"))
+        seen = value_table(counts.join(known, "value", "left"))
+        fresh = number_values(seen.where(F.col("surrogate_id").isNull()).drop("surrogate_id"), "value", "rank")
+        fresh = fresh.withColumn("surrogate_id", (F.col("rank") + F.lit(top)).cast("bigint")).drop("rank")
+        fresh.select("value", "surrogate_id").write.mode("append").parquet(self.path)
+        return seen.where(F.col("surrogate_id").isNotNull()).unionByName(fresh)
 
     def attach(self, df: DataFrame, column: str, out: str) -> DataFrame:
         """``df`` with the surrogate of ``column`` as column ``out``; NULL stays NULL."""

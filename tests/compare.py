@@ -67,7 +67,8 @@ def main() -> None:
 
     folder = sys.argv[1]
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session("local[8]", **{"spark__sql__shuffle__partitions": "8", "spark__ui__enabled": "false"})
+    conf = {"sql__shuffle__partitions": "8", "ui__enabled": "false", "ui__showConsoleProgress": "false"}
+    spark = build_session("local[8]", **{f"spark__{name}": value for name, value in conf.items()})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
@@ -79,7 +80,7 @@ def main() -> None:
         except Exception as error:  # noqa: BLE001
             found = f"ERROR {type(error).__name__} {str(error)[:600]}"
         bad += bool(found) and not found.startswith("NO SQL")
-        print(f"{'ok ' if found is None else 'BAD'} {name} {time.time() - began:.1f}s {found or ''}", flush=True)
+        print(f"{'ok ' if not found else '-- ' if found.startswith('NO SQL') else 'BAD'} {name} {time.time() - began:.1f}s {found or ''}", flush=True)
     print(f"{len(names)} queries, {bad} bad")
     spark.stop()
 
