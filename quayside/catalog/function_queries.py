@@ -256,6 +256,15 @@ def _json_field(spark, t):
     )
 
 
+@query(
+    "json_record",
+    """select event_id, cast(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) as varchar)
+       as record from {events}""",
+)
+def _json_record(spark, t):
+    return t.events.select("event_id", scalars.json_record("event_id", "user_id", "event_type").alias("record"))
+
+
 @query("lower_group", "select p_partkey, lower(p_brand) as group_name from {part}")
 def _lower_group(spark, t):
     return t.part.select("p_partkey", scalars.lower_group(F.col("p_brand")).alias("group_name"))

@@ -70,6 +70,11 @@ def json_field(text: Column, path: str) -> Column:
     return F.get_json_object(text, path)
 
 
+def json_record(*columns: str) -> Column:
+    """The named columns as one JSON text; fields that are null are left out."""
+    return F.to_json(F.struct(*columns))
+
+
 def lower_group(group: Column) -> Column:
     return F.lower(group.cast("string"))
 

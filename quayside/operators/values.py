@@ -143,6 +143,9 @@ def attach_by_value(facts: DataFrame, key: Column, table: DataFrame, payload: st
     they are looked up by broadcast. Rows settled that way, and rows without a value, go to the
     second join under one of ``parts`` slots that no table row has, which spreads them; all other
     rows meet their value in slot 0. Every row is read once and kept.
+
+    A slot follows from the row and its partition: a task that runs again gives the same slots in
+    whatever order it sees its rows, and copies of one row are spread as far as their partitions.
     """
     share = (table.agg(F.sum("n")).first()[0] or 0) // parts
     hot = table.where(F.col("n") > share).select(
@@ -154,7 +157,8 @@ def attach_by_value(facts: DataFrame, key: Column, table: DataFrame, payload: st
     names = facts.columns
     seen = facts.withColumn("look", key).join(F.broadcast(hot), F.col("look") == F.col("hot_value"), "left")
     settled = F.col("hot_value").isNotNull() | F.col("look").isNull()
-    spread = (1 + F.pmod(F.xxhash64(*names), F.lit(parts))).cast("int")
+    hashed = [f.name for f in facts.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = (1 + F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(parts))).cast("int")
     slotted = seen.withColumn("slot", F.when(settled, spread).otherwise(F.lit(0)))
     joined = slotted.join(
         cold, (F.col("look") == F.col("cold_value")) & (F.col("slot") == F.col("cold_slot")), "left"

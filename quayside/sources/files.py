@@ -22,7 +22,8 @@ def scan_csv(
 
     With a schema the files are read once and a header in another column order raises; without one
     Spark reads them once more to infer types. ``multi_line`` keeps quoted newlines inside a record
-    at the price of one task per file. ``keep_corrupt`` adds the text of lines that do not fit.
+    at the price of one task per file. ``keep_corrupt`` adds the text of lines that do not fit, and
+    leaves the header's order unchecked.
     """
     reader = spark.read.option("header", True)
     if schema is None:

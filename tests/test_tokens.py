@@ -125,6 +125,22 @@ def test_lookup_with_hot_and_missing_values(spark, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_copies_of_one_row_are_spread_too(spark):
+    facts = spark.range(0, 40_000, 1, 64).selectExpr("'hot' v")
+    table = value_table(spark.sql("select 'hot' value, 40000L n, 1 size"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = attach_by_value(facts, F.col("v"), table, "size")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.where("size = 1").count() == 40_000 == sum(sizes)
+        assert len(sizes) == 8 and max(sizes) < 40_000 / 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
 def test_hot_rows_are_spread_over_tasks(spark):
     """Two thirds of the rows share one value or have none: the sorted join still gets even tasks."""
     facts = spark.range(40_000).selectExpr("id", "case when id % 3 < 2 then 'hot' else concat('k', id) end v")
