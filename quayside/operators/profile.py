@@ -80,8 +80,11 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
         one = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
         cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_count")) for c in columns]
         distinct = one.select(F.inline(F.array(*cells)))
-    joined = measured.join(distinct, "column_name", "left")
-    return joined.withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0).cast("bigint")))
+    # Two rows for each column, put together into one.
+    both = measured.unionByName(distinct, allowMissingColumns=True)
+    rest = [F.max(c).alias(c) for c in both.columns if c not in ("column_name", "distinct_count")]
+    whole = F.coalesce(F.max("distinct_count"), F.lit(0)).cast("bigint").alias("distinct_count")
+    return both.groupBy("column_name").agg(*rest, whole)
 
 
 def preview(df: DataFrame, *order: str, rows: int = 20) -> DataFrame:

@@ -325,57 +325,36 @@ def _aggregate_pass(df: DataFrame, items: Sequence[Expectation]) -> DataFrame:
     return one.select(F.inline(F.array(*results)))
 
 
-def _spec_frame(df: DataFrame, items: Sequence[Expectation]) -> DataFrame:
-    rows = [(i.name, i.column, i.args_text, *((*i.args, None, None)[:2])) for i in items]
-    rows = [(n, c, a, None if lo is None else float(lo), None if hi is None else float(hi)) for n, c, a, lo, hi in rows]
-    schema = "expectation string, column_name string, args string, low double, high double"
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-def _judge(specs: DataFrame, measured: DataFrame, got: Column, shown: Column, unexpected: Column) -> DataFrame:
-    """Meet the checks of one pass with their measurements; both have a row for each column."""
-    joined = specs.join(measured, "column_name", "left")
-    seen = F.coalesce("value_count", F.lit(0).cast("bigint"))
-    inside = (F.col("low").isNull() | (got >= F.col("low"))) & (F.col("high").isNull() | (got <= F.col("high")))
-    success = F.when(unexpected.isNotNull(), unexpected == 0).otherwise(F.coalesce(got.isNotNull() & inside, F.lit(False)))
-    return joined.select(
-        "expectation",
-        "column_name",
-        "args",
-        success.alias("success"),
-        shown.alias("observed"),
-        seen.alias("element_count"),
-        unexpected.alias("unexpected_count"),
-        _percent(unexpected, seen).alias("unexpected_pct"),
-        F.lit(None).cast("string").alias("error"),
-    )
-
-
 def _value_pass(df: DataFrame, items: Sequence[Expectation]) -> DataFrame:
-    """Checks of distinct values: all their columns in one pass over counted values."""
-    stats = value_stats(df, sorted({i.column for i in items}))
+    """Checks of distinct values: the values of a column are counted once for all its checks."""
     unique, count, _ = VALUE_CHECKS
-    kind = F.col("expectation")
-    distinct = F.coalesce("distinct_count", F.lit(0).cast("bigint"))
-    share = F.when(F.col("value_count") > 0, F.col("distinct_count") / F.col("value_count"))
-    got = F.when(kind == count, distinct.cast("double")).otherwise(share)
-    shown = F.when(kind == count, distinct.cast("string")).when(
-        kind != unique, observed_text(share, T.DoubleType())
-    )
-    unexpected = F.when(kind == unique, F.coalesce("repeated_count", F.lit(0).cast("bigint")))
-    return _judge(_spec_frame(df, items), stats, got, shown, unexpected)
+    seen, distinct = F.col("value_count"), F.col("distinct_count")
+    share = F.when(seen > 0, distinct / seen)
+    parts = []
+    for column in dict.fromkeys(i.column for i in items):
+        results = []
+        for item in (i for i in items if i.column == column):
+            if item.name == unique:
+                found = F.col("repeated_count")
+                results.append(_result(item, found == 0, None, seen, found))
+                continue
+            got, kind = (distinct, T.LongType()) if item.name == count else (share, T.DoubleType())
+            results.append(_result(item, _bounded(got, item.args, kind), observed_text(got, kind), seen))
+        parts.append(value_stats(df, [column]).select(F.inline(F.array(*results))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _median_pass(df: DataFrame, items: Sequence[Expectation]) -> DataFrame:
-    columns = sorted({i.column for i in items})
-    seen = df.agg(*[F.count(c).alias(c) for c in columns])
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value_count")) for c in columns]
-    counts = seen.select(F.inline(F.array(*cells)))
-    measured = counts.join(quantiles(df, columns, [0.5]), "column_name", "left")
-    got = F.col("quantile")
-    return _judge(
-        _spec_frame(df, items), measured, got, observed_text(got, T.DoubleType()), F.lit(None).cast("bigint")
+    columns = list(dict.fromkeys(i.column for i in items))
+    counts = df.agg(*[F.count(c).alias(f"seen_{at}") for at, c in enumerate(columns)])
+    cells = [F.struct(F.lit(c).alias("name"), F.col(f"seen_{at}").alias("seen")) for at, c in enumerate(columns)]
+    measured = counts.select(F.inline(F.array(*cells))).join(
+        quantiles(df, columns, [0.5]), F.col("name") == F.col("column_name"), "left"
     )
+    got, kind = F.col("quantile"), T.DoubleType()
+    results = [_result(i, _bounded(got, i.args, kind), observed_text(got, kind), F.col("seen")) for i in items]
+    own = F.filter(F.array(*results), lambda result: result["column_name"] == F.col("name"))
+    return measured.select(F.inline(own))
 
 
 def run_suite(df: DataFrame, suite) -> DataFrame:

@@ -85,3 +85,10 @@ def test_histogram(spark):
     flat = spark.createDataFrame([(3.0,), (3.0,)], "v double")
     assert [(r["bin"], r["records"]) for r in profile.profile_histogram(flat, "v").collect()] == [(0, 2)]
     assert profile.profile_histogram(df.where("v is null"), "v").count() == 0
+
+
+def test_one_column_needs_no_nested_loop(spark):
+    df = spark.range(100).selectExpr("id % 7 as v")
+    plan = profile.profile_columns(df)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert profile.profile_columns(df).first()["distinct_count"] == 7

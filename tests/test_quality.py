@@ -201,3 +201,9 @@ def test_long_texts_are_compared_whole(spark):
 def test_summary(df):
     row = quality.summarize(quality.run_suite(df, ["expect_column_to_exist('id')", "expect_column_to_exist('x')"])).first()
     assert tuple(row) == (2, 1, 1, 50.0)
+
+
+def test_single_checks_need_no_nested_loop(df):
+    for call, *_ in CASES:
+        plan = quality.check(df, f"expect_{call[0]}", *call[1:])._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
