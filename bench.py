@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the local cores (default all). Every
 query runs whole, writes included, into a sink that drops the rows: once to warm up, then
-BENCH_RUNS times (default 3), of which the median counts.
+BENCH_RUNS times (default 2), of which the median counts.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ HEADLINE = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     conf = {
         "spark__sql__shuffle__partitions": cpus,

@@ -358,7 +358,11 @@ def _median_pass(df: DataFrame, items: Sequence[Expectation]) -> DataFrame:
 
 
 def run_suite(df: DataFrame, suite) -> DataFrame:
-    """Evaluate a suite on a table: one row of ``RESULT_SCHEMA`` for each expectation."""
+    """Evaluate a suite on a table: one row of ``RESULT_SCHEMA`` for each expectation.
+
+    The table is read by several passes, each of some columns. Hand in a columnar table; write a
+    computed or a text one with ``durable`` first, so that it is made once.
+    """
     items = read_suite(suite)
     known: list[tuple] = []
     by_pass: dict[str, list[Expectation]] = {"agg": [], "values": [], "median": []}
