@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.exprs import ascii_lower, word_array
+from quayside.session import durable
 
 SHINGLE = 5
 BITS = 64
@@ -122,20 +123,22 @@ def find_leaks(
     hits = reduce(DataFrame.unionByName, (_hits(lowered, items, length) for length in [size, *sorted(short)]))
     # A window that would leave the document is moved inside it.
     start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.size("words") - F.col("n_words")))
-    windows = (
+    # Both sides are written: fingerprints are then computed once, not again for every block of theirs.
+    windows = durable(
         hits.withColumn("start", start)
         .select("doc_id", "start", "n_words", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("window"))
         .distinct()
         .withColumn("shingles", _shingles(F.col("window"), size))
-        .select("doc_id", "start", "n_words", "shingles", simhash(F.col("shingles")).alias("print"))
+        .select("doc_id", "start", "n_words", "shingles", simhash(F.col("shingles")).alias("print")),
+        "windows",
     )
+    prints = durable(items.withColumn("print", simhash(F.col("item_shingles"))), "items")
     low = (1 << width) - 1
     block = lambda k: F.shiftrightunsigned("print", k * width).bitwiseAND(F.lit(low)).cast("int")
     cut = F.array(*(F.struct(F.lit(k).alias("block"), block(k).alias("value")) for k in range(blocks)))
     masks = F.array(*(F.lit(m) for m in block_masks(width, radius // blocks)))
     filed = (
-        items.withColumn("print", simhash(F.col("item_shingles")))
-        .withColumn("cut", F.explode(cut))
+        prints.withColumn("cut", F.explode(cut))
         .withColumn("mask", F.explode(masks))
         .select(
             "item_id",
@@ -156,7 +159,7 @@ def find_leaks(
         .distinct()
     )
     verified = (
-        near.join(bounded(items.select("item_id", "item_shingles")), "item_id")
+        near.join(bounded(prints.select("item_id", "item_shingles")), "item_id")
         .withColumn("similarity", similarity(F.col("shingles"), F.col("item_shingles")))
         .where(F.col("similarity") >= threshold)
     )
