@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, quality_rules, secret_scan
+from quayside.llm import decontaminate, ngram_join, quality_rules, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,3 +147,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secret_scan.span_text(spans, base), 256).alias("base_sha256"),
         secret_scan.span_text(spans).alias("spans"),
     )
+
+
+@query("op8_ngram_jaccard")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, folder, "documents").select("doc_id", "text"))
