@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, ngram_join, quality_rules, secret_scan
+from quayside.llm import decontaminate, ngram_join, quality_rules, secret_scan, sentencepiece_topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,33 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+TOKENIZERS = os.environ.get("QUAYSIDE_TOKENIZERS", "/opt/tokenizers")
+
+
+@query("op1_sentencepiece_topk")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Three segmentations of every document: digests of their ids, scores, and whether they decode."""
+    drawn = sentencepiece_topk.sample_segmentations(
+        table(spark, folder, "documents"),
+        f"{TOKENIZERS}/piece_bpe_32k.model",
+        k=3,
+        alpha=1.0,
+        seed=17,
+        keep=["doc_id"],
+        with_ids=False,
+    )
+    return drawn.select(
+        "doc_id",
+        F.size("segmentations").cast("long").alias("n_segmentations"),
+        F.transform("segmentations", lambda s: s["n_pieces"]).alias("n_pieces"),
+        F.transform("segmentations", lambda s: s["log_prob"]).alias("log_prob"),
+        F.transform("segmentations", lambda s: s["perturbed"]).alias("perturbed"),
+        F.transform("segmentations", lambda s: s["log_inclusion"]).alias("log_inclusion"),
+        F.transform("segmentations", lambda s: s["ids_sha256"]).alias("ids_sha256"),
+        F.forall("segmentations", lambda s: s["decodes"]).alias("decodes"),
+    )
+
+
 LEAKS_SQL = r"""
 with items as (
   select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
