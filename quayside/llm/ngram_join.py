@@ -7,7 +7,7 @@
 2. Groups meet on shared prefix shingles if their sizes and the places of the shingle allow enough
    overlap; group pairs are expanded into pairs of members, and those verified on whole sets.
 3. Not every pair needs to be verified to know components. A first round joins short posting lists
-   in full, and long ones only with the least entry of the same size band. A second round takes
+   in full, and long ones only with one entry of the same size band. A second round takes
    all pairs of long lists that are still in different components. So a group of many similar
    documents costs pairs in proportion to its size, and no link between components is lost.
 
@@ -197,7 +197,9 @@ def _prefixes(known):
         for key, text in _texts(batches):
             s = shingle_set(text, hashes)
             n = len(s)
-            order = np.lexsort((s, freq.level(s)))[: prefix_length(n)] if n else np.zeros(0, np.int64)
+            level = freq.level(s)
+            # Sets are sorted, so a stable sort by level gives (level, hash).
+            order = np.argsort(level, kind="stable")[: prefix_length(n)] if level.any() else np.arange(prefix_length(n) if n else 0)
             prefix = s[order]
             may = np.flatnonzero(freq.repeats(prefix)) if n else np.zeros(0, np.int64)
             for column, value in zip(
@@ -316,8 +318,12 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _first_pairs(postings: DataFrame, sizes: DataFrame) -> DataFrame:
-    """All pairs of short lists; in long ones each entry with the least of its size band and of the one below."""
-    entry = F.struct("n", "g", "place")
+    """All pairs of short lists; in long ones each entry with the head of its size band and of the one below.
+
+    The head has the fewest rarer shingles of its own before the shared one, so it is the text that
+    the others were most likely made from, and links with as many of them as any can.
+    """
+    entry = F.struct("place", "n", "g")
     short = postings.join(sizes.where(F.col("entries") <= LONG_LIST).select("token"), "token")
     lists = short.groupBy("token").agg(F.collect_list(entry).alias("list"))
     ab = lists.select("list", F.posexplode("list").alias("k", "a")).select("a", F.explode(F.slice(F.col("list"), F.col("k") + 2, F.lit(LONG_LIST))).alias("b"))
