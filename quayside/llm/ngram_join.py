@@ -413,8 +413,9 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .join(first, ["x", "y"], "left_anti")
     )
     rest = durable(rest, "pairs")
-    if not rest.isEmpty():
-        now = durable(labelled(components(links.union(verified(rest)))), "labels")
+    more_links = None if rest.isEmpty() else verified(rest)
+    if more_links is not None and not more_links.isEmpty():
+        now = durable(labelled(components(links.union(more_links))), "labels")
     least = now.groupBy("root").agg(F.min("id").alias("component_id"))
     answer = now.join(least, "root").select("set", "component_id")
     return (

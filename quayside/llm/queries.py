@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, ngram_join, quality_rules, secret_scan, sentencepiece_topk
+from quayside.llm import (
+    decontaminate,
+    ngram_join,
+    ordinal_quality,
+    quality_rules,
+    secret_scan,
+    sentencepiece_topk,
+    toxicity,
+)
+from quayside.llm.hashed_text import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -180,3 +189,34 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_ngram_jaccard")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+#: Graded rating of a labelled document: poor, sound but toxic, sound.
+GRADE = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+
+
+@query("op9_ordinal_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and tail probability of every document; selected if it is more likely than not above grade 0."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rated = ordinal_quality.rate_texts(docs, ordinal_quality.fit(docs, labels, GRADE), keep=["doc_id"])
+    return rated.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("rating.expected_grade").alias("expected_grade"),
+        F.get("rating.tail", F.lit(0)).alias("p_above_0"),
+        F.get("rating.tail", F.lit(1)).alias("p_above_1"),
+        F.coalesce(F.get("rating.tail", F.lit(0)) >= 0.5, F.lit(True)).alias("kept"),
+    )
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.score_texts(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )

@@ -171,7 +171,7 @@ def _layout(texts: Sequence[np.ndarray], width: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(words).T, np.concatenate(mask).T, np.concatenate(owner)
 
 
-def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 10, batch: int = 64, rate: float = 0.01, seed: int = 11) -> Model:
+def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 11) -> Model:
     """A model of ``(label 0 or 1, text)`` rows; label 1 and 0 weigh the same in every batch."""
     model = Model.fresh(width, seed)
     if len({y for y, _ in rows}) < 2:
@@ -288,7 +288,7 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", out: str = "sco
     return df.select(*keep, F.col(text).alias("__text")).mapInArrow(_score(sent, keep, [*keep, out]), schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2000, longest: int = 8000, **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, longest: int = 8000, **options) -> Model:
     """Train on at most ``per_label`` texts of each label of at most ``longest`` characters, held-out ids excluded."""
     rows = training_rows(docs, labels, F.col("toxic").cast("int"), per_label, longest)
     return train([(int(y == 1), t) for y, t in rows], **options)
