@@ -191,15 +191,16 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-#: Graded rating of a labelled document: poor, sound but toxic, sound.
-GRADE = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+def _grade():
+    """Graded rating of a labelled document: 0 poor, 1 sound but toxic, 2 sound."""
+    return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
 
 
 @query("op9_ordinal_quality")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Expected grade and tail probability of every document; selected if it is more likely than not above grade 0."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    rated = ordinal_quality.rate_texts(docs, ordinal_quality.fit(docs, labels, GRADE), keep=["doc_id"])
+    rated = ordinal_quality.rate_texts(docs, ordinal_quality.fit(docs, labels, _grade()), keep=["doc_id"])
     return rated.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
