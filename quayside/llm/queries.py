@@ -13,8 +13,10 @@ from quayside.llm import (
     ngram_join,
     ordinal_quality,
     quality_rules,
+    revisits,
     secret_scan,
     sentencepiece_topk,
+    token_scan,
     toxicity,
 )
 from quayside.llm.hashed_text import held_out
@@ -221,3 +223,80 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as flat token files, and the tokens of each as a scan for separators finds them."""
+    counted = token_scan.count_tokens(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", separator=50256)
+    return counted.select("doc_id", "n_tokens")
+
+
+#: Every page is captured as a full response and, half a day later, as a not-modified revisit. Some
+#: revisits carry another tag, only a date, or no validator; every 13th page has only a revisit.
+CAPTURES = """
+select * from (
+  select page_id * 2 as record_id, url, page_id * 3600 as seen, false as revisit, page_id, md5(coalesce(html, '')) as digest,
+    length(html) as size from {pages} where page_id % 13 <> 5 or page_id is null
+  union all
+  select page_id * 2 + 1 as record_id, url, page_id * 3600 + 43200 as seen, true as revisit, page_id, md5(coalesce(html, '')) as digest,
+    length(html) as size from {pages}) captures
+"""
+
+REVISITS_SQL = r"""
+with captures as (CAPTURES),
+cut as (select *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare from captures),
+parts as (select *, regexp_extract(bare, '^([^?]*)', 1) as place, regexp_extract(bare, '\?(.*)$', 1) as query from cut),
+named as (select *,
+    regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(place, '^([^/]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '')
+    || regexp_replace(regexp_extract(place, '^[^/]*(/.*)?$', 1), '/+$', '') as stem,
+    list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' and not regexp_matches(lower(p), '^(utm_[a-z_]*|ref|fbclid|gclid)(=|$)'))) as kept
+  from parts),
+known as (select *, stem || case when len(kept) > 0 then '?' || array_to_string(kept, '&') else '' end as canon from named),
+revisit as (select * from known where revisit), response as (select * from known where not revisit),
+met as (
+  select v.record_id, v.canon as url, v.seen, v.page_id as vp, v.digest as vd, f.record_id as source_id, f.seen as source_at,
+    f.digest as fd, f.page_id as fp, f.size as fs, v.canon
+  from revisit v asof left join response f on v.canon = f.canon and f.seen < v.seen),
+told as (select *,
+    case when source_id is null then 'no_response'
+      when vp % 11 = 3 then 'no_validator'
+      when vp % 11 = 4 then case when vp % 7 = fp % 7 then 'resolved' else 'mismatch' end
+      when vp % 11 = 5 then 'mismatch'
+      when vd = fd then 'resolved' else 'mismatch' end as status from met)
+select record_id, url, cast(seen as bigint) as captured_at, status,
+  case when status = 'resolved' then source_id end as source_id, case when status = 'resolved' then source_at end as source_at,
+  case when status = 'resolved' then fd end as digest,
+  case when status = 'resolved' then
+    'cache-control=max-age=' || (vp % 5) || ';content-length=' || coalesce(cast(fs as varchar), '0') || ';content-type=text/html;date=' || seen
+    || ';etag=' || case when vp % 11 = 4 then '"' || fd || '"' else 'W/"' || vd || '"' end || ';last-modified=day ' || (fp % 7) end as headers
+from told
+"""
+
+
+@query("op5_revisits", REVISITS_SQL.replace("CAPTURES", CAPTURES.replace("{pages}", "pages")))
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    captures = spark.sql(CAPTURES, pages=table(spark, folder, "pages"))
+    n = F.col("page_id")
+    day = F.concat(F.lit("day "), n % 7)
+    always = lambda value: F.concat(F.lit('W/"'), value, F.lit('"'))
+    response = F.create_map(
+        F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), F.coalesce(F.col("size"), F.lit(0)).cast("string"),
+        F.lit("ETag"), F.concat(F.lit('"'), F.col("digest"), F.lit('"')), F.lit("Last-Modified"), day, F.lit("Date"), F.col("seen").cast("string"),
+    )
+    common = [F.lit("Date"), F.col("seen").cast("string"), F.lit("Cache-Control"), F.concat(F.lit("max-age="), n % 5), F.lit("Content-Length"), F.lit("0")]
+    answer = (
+        F.when(n % 11 == 3, F.create_map(*common))
+        .when(n % 11 == 4, F.create_map(*common, F.lit("Last-Modified"), day))
+        .when(n % 11 == 5, F.create_map(*common, F.lit("ETag"), F.lit('"other"')))
+        .otherwise(F.create_map(*common, F.lit("ETag"), always(F.col("digest"))))
+    )
+    records = captures.select(
+        "record_id", "url", F.col("seen").alias("at"), "revisit", F.when(F.col("revisit"), answer).otherwise(response).alias("headers"),
+        F.when(~F.col("revisit"), F.col("digest")).alias("digest"),
+    )
+    resolved = revisits.resolve_revisits(records)
+    told = F.array_join(
+        F.transform(F.array_sort(F.map_keys("headers")), lambda k: F.concat(k, F.lit("="), F.element_at(F.col("headers"), k))), ";"
+    )
+    return resolved.withColumn("headers", told).withColumnRenamed("at", "captured_at")
