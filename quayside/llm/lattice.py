@@ -325,8 +325,9 @@ def sample_texts(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int, see
     seeds = uniform_state(keys, seed)
     searches = [_Search(s, k) for s in seeds]
     todo = []
-    for d, search in enumerate(searches):
-        value = float(-np.log(-np.log(search.uniforms(1)[0])))
+    roots = (-np.log(-np.log(uniform(seeds)))).tolist()
+    for d, (search, value) in enumerate(zip(searches, roots)):
+        search.take(1)
         if len(units[d]):
             todo.append((d, value, np.zeros(0, np.int64), None, 0))
         else:

@@ -33,7 +33,7 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 from quayside.llm.lattice import BLANK, Pieces, sample_texts
 
 #: Characters of texts that share one lattice table; a longer text has one for itself.
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 3_000_000
 BATCH_ROWS = 4096
 
 SAMPLE = (
