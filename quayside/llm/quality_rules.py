@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.exprs import HAS_WORD, fresh, let, word_array
+from quayside.llm.exprs import HAS_WORD, let, word_array
 
 #: Frequent words of the four languages that the rules know.
 STOP_WORDS = (
@@ -151,11 +151,15 @@ def apply_rules(
     """
     if out.lower() in {name.lower() for name in df.columns}:
         raise ValueError(f"the input already has a column {out!r}")
-    words, counts = fresh(df, "words"), fresh(df, "counts")
-    measured = df.withColumn(words, word_array(F.col(text))).withColumn(
-        counts, F.struct(*(value.alias(name) for name, value in _metrics(F.col(text), F.col(words)).items()))
-    )
-    c = F.col(counts)
-    base = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-    kept = ~base & compile_rules(rules, c)
-    return measured.withColumn(out, F.struct(c.alias("counts"), base.alias("base_failed"), kept.alias("kept"))).drop(words, counts)
+    # One expression with nested values: a later filter on the verdict then copies it as a whole,
+    # and not once more for every use of the words inside.
+    def judge(c: Column) -> Column:
+        base = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+        kept = ~base & compile_rules(rules, c)
+        return F.struct(c.alias("counts"), base.alias("base_failed"), kept.alias("kept"))
+
+    def measure(words: Column) -> Column:
+        counts = F.struct(*(value.alias(name) for name, value in _metrics(F.col(text), words).items()))
+        return let(counts, judge)
+
+    return df.withColumn(out, let(word_array(F.col(text)), measure))
