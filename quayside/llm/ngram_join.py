@@ -21,7 +21,7 @@ Defined results: see ``similar_components``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,9 +66,14 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, str | No
             yield from zip(ids.slice(start, 512).to_pylist(), part)
 
 
-def _key_ranges(key_bits: int, range_bits: int):
+def _shingle_keys() -> Callable[[str | None], np.ndarray]:
+    hashes = WordHashes()
+    return lambda text: shingle_set(text, hashes)
+
+
+def _key_ranges(key_bits: int, range_bits: int, finder: Callable):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, n = WordHashes(), [], 0
+        keys_of, held, n = finder(), [], 0
 
         def flush() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -79,7 +84,7 @@ def _key_ranges(key_bits: int, range_bits: int):
             return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int32)), pa.array(data, pa.binary())], ["range", "keys"])
 
         for _, text in _texts(batches):
-            found = shingle_set(text, hashes) >> np.uint64(64 - key_bits)
+            found = keys_of(text) >> np.uint64(64 - key_bits)
             if len(found):
                 held.append(found)
                 n += len(found)
@@ -139,12 +144,16 @@ class Frequencies:
         return (self.cells[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
 
 
-def count_shingles(docs: DataFrame) -> Frequencies:
-    """Frequencies over all shingles of ``id, text``."""
-    likely = max(docs.count() * 600, 1)
+def count_keys(docs: DataFrame, finder: Callable = _shingle_keys, likely_each: int = 600) -> Frequencies:
+    """Frequencies over all keys of ``id, text``: by default the shingles of the text.
+
+    ``finder()`` gives a task the function from a text to its 64-bit keys; ``likely_each``, about
+    how many a text has, only chooses the number of key ranges.
+    """
+    likely = max(docs.count() * likely_each, 1)
     range_bits = min(max(math.ceil(math.log2(likely / 2_000_000)), 3) if likely > 2_000_000 else 3, CELL_BITS - 3)
     key_bits = min(max(math.ceil(math.log2(likely)) + 6, CELL_BITS + 3), 56)
-    packed = docs.mapInArrow(_key_ranges(key_bits, range_bits), "range int, keys binary")
+    packed = docs.mapInArrow(_key_ranges(key_bits, range_bits, finder), "range int, keys binary")
     merged = packed.groupBy("range").applyInArrow(
         _merge_range(key_bits, range_bits, FREQUENT_KEYS >> range_bits or 1),
         "range int, cells binary, keys binary, levels binary",
@@ -233,8 +242,7 @@ def _whole_sets(wanted):
         for key, text in _texts(batches):
             found = shingle_set(text, hashes).tobytes()
             digest = xxhash.xxh3_128_hexdigest(found)
-            cell = _cell(xxhash.xxh3_128_hexdigest(f"{digest}:{key}"))
-            if found and cells[cell >> 3] >> (cell & 7) & 1:
+            if found and is_wanted(cells, f"{digest}:{key}"):
                 keys.append(_class_number(digest))
                 data.append(found)
                 held += len(found)
@@ -258,7 +266,7 @@ SLICE_BITS = 15
 
 def _wanted_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wanted cells of a task as slices of one bit table."""
-    cells = [_cell(xxhash.xxh3_128_hexdigest(f"{d}:{i}")) for b in batches for d, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    cells = [_cell(xxhash.xxh3_128_hexdigest(name)) for b in batches for name in b.column(0).to_pylist()]
     at = np.unique(np.array(cells, np.int64))
     for k in np.unique(at >> SLICE_BITS):
         bits = np.zeros(1 << SLICE_BITS, bool)
@@ -274,8 +282,13 @@ def _merge_slices(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([table.column("slice")[0].as_py()], pa.int32()), [zstandard.compress(bits.tobytes())]], names=["slice", "bits"])
 
 
-def _cells_of(wanted: DataFrame) -> np.ndarray:
-    """One bit table of fixed size for the wanted ``set, id``; each slice of it comes back once."""
+def is_wanted(cells: np.ndarray, name: str) -> bool:
+    cell = _cell(xxhash.xxh3_128_hexdigest(name))
+    return bool(cells[cell >> 3] >> (cell & 7) & 1)
+
+
+def wanted_cells(wanted: DataFrame) -> np.ndarray:
+    """One bit table of fixed size for a column of names; each slice of it comes back once."""
     slices = wanted.mapInArrow(_wanted_slices, "slice int, bits binary").groupBy("slice")
     width = (1 << SLICE_BITS) // 8
     cells = np.zeros((1 << CELL_BITS) // 8, np.uint8)
@@ -357,7 +370,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     spark = docs.sparkSession
     ids = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    known = spark.sparkContext.broadcast(count_shingles(ids))
+    known = spark.sparkContext.broadcast(count_keys(ids))
     rows = durable(ids.mapInArrow(_prefixes(known), PREFIX_SCHEMA), "prefixes")
     number = F.conv(F.substring("set", 1, 16), 16, -10).cast("long")
     full = rows.where(F.col("n") > 0)
@@ -373,7 +386,9 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("x").alias("c")).union(pairs.select(F.col("y").alias("c"))).distinct()
-        wanted = spark.sparkContext.broadcast(_cells_of(classes.join(ends, "c").select("set", "id")))
+        wanted = spark.sparkContext.broadcast(
+            wanted_cells(classes.join(ends, "c").select(F.concat_ws(":", "set", F.coalesce(F.col("id").cast("string"), F.lit("None")))))
+        )
         sets = durable(ids.mapInArrow(_whole_sets(wanted), SETS_SCHEMA), "sets")
         met = pairs.join(sets.select(F.col("c").alias("y"), F.col("shingles").alias("b")), "y").join(
             sets.select(F.col("c").alias("x"), F.col("shingles").alias("a")), "x"

@@ -16,6 +16,7 @@ from quayside.llm import (
     revisits,
     secret_scan,
     sentencepiece_topk,
+    suffix_dedup,
     token_scan,
     toxicity,
 )
@@ -300,3 +301,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         F.transform(F.array_sort(F.map_keys("headers")), lambda k: F.concat(k, F.lit("="), F.element_at(F.col("headers"), k))), ";"
     )
     return resolved.withColumn("headers", told).withColumnRenamed("at", "captured_at")
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
