@@ -43,8 +43,8 @@ class Rule:
 #: The production table. A ratio is NULL for a text without words or lines.
 RULES = (
     Rule("mean_word_chars", 2.0, 40.0),
-    Rule("symbol_ratio", None, 0.5),
-    Rule("stop_word_ratio", 0.01, None),
+    Rule("symbol_ratio", None, 0.1),
+    Rule("stop_word_ratio", 0.02, None),
     Rule("dup_line_ratio", None, 0.5),
     Rule("upper_ratio", None, 0.7),
 )

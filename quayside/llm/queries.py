@@ -129,8 +129,8 @@ judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base
 select doc_id, n_words, coalesce(word_chars, 0) as word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed
   and coalesce(word_chars / nullif(n_words, 0) between 2 and 40, true)
-  and coalesce(n_symbols / nullif(n_words, 0) <= 0.5, true)
-  and coalesce(n_stop / nullif(n_words, 0) >= 0.01, true)
+  and coalesce(n_symbols / nullif(n_words, 0) <= 0.1, true)
+  and coalesce(n_stop / nullif(n_words, 0) >= 0.02, true)
   and coalesce(n_dup_lines / nullif(n_lines, 0) <= 0.5, true)
   and coalesce(n_upper / nullif(n_letters, 0) <= 0.7, true) as kept
 from judged
