@@ -13,7 +13,8 @@
 
 Frequencies: each task packs sorted key gaps by key range, ranges are merged in tasks of about
 equal size, and come back as two tables of fixed size (frequent keys; cells of keys met twice).
-Sets are equal if their 128-bit digests are; shingles are told apart by 64-bit hashes.
+Sets are equal if their 128-bit digests are; shingles are told apart by 64-bit hashes, and in
+verification by 48 bits of them.
 
 Defined results: see ``similar_components``.
 """
@@ -39,7 +40,8 @@ from quayside.session import durable
 PERCENT = 80
 FREQUENT_FROM = 5
 FREQUENT_KEYS = 500_000  # 4.5 MB, the most that is broadcast of frequent keys
-CELL_BITS = 27  # 16 MB of bits, broadcast: cells of keys that occur twice or more
+CELL_BITS = 28  # 32 MB of bits at most, broadcast: cells of keys that occur twice or more
+WANTED_BITS = 26  # 8 MB of bits, broadcast: cells of rows that are wanted
 FLUSH = 2_000_000  # shingles that a task holds before it packs them
 LONG_LIST = 16
 
@@ -132,6 +134,12 @@ class Frequencies:
     def __init__(self, key_bits: int, keys: np.ndarray, levels: np.ndarray, cells: np.ndarray, cell_bits: int):
         self.key_bits, self.keys, self.levels, self.cells, self.cell_bits = key_bits, keys, levels, cells, cell_bits
 
+    def __getstate__(self):
+        return self.__dict__ | {"cells": zstandard.compress(self.cells.tobytes())}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, cells=np.frombuffer(zstandard.decompress(state["cells"]), np.uint8))
+
     def level(self, shingles: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(shingles), np.uint8)
@@ -230,7 +238,17 @@ SETS_SCHEMA = "c bigint, shingles binary"
 
 
 def _cell(digest: str) -> int:
-    return int(digest[:8], 16) >> (32 - CELL_BITS)
+    return int(digest[:8], 16) >> (32 - WANTED_BITS)
+
+
+def _short(shingles: np.ndarray) -> bytes:
+    """The first 48 bits of each hash, which is what verification compares."""
+    return shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _long(data) -> np.ndarray:
+    part = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return np.ascontiguousarray(np.pad(part, ((0, 0), (2, 0)))).view("<u8").ravel()
 
 
 def _whole_sets(wanted):
@@ -240,12 +258,12 @@ def _whole_sets(wanted):
         hashes, cells = WordHashes(), wanted.value
         keys, data, held = [], [], 0
         for key, text in _texts(batches):
-            found = shingle_set(text, hashes).tobytes()
-            digest = xxhash.xxh3_128_hexdigest(found)
-            if found and is_wanted(cells, f"{digest}:{key}"):
+            found = shingle_set(text, hashes)
+            digest = xxhash.xxh3_128_hexdigest(found.tobytes())
+            if len(found) and is_wanted(cells, f"{digest}:{key}"):
                 keys.append(_class_number(digest))
-                data.append(found)
-                held += len(found)
+                data.append(_short(found))
+                held += len(data[-1])
                 if held > 4_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], ["c", "shingles"])
                     keys, data, held = [], [], 0
@@ -291,7 +309,7 @@ def wanted_cells(wanted: DataFrame) -> np.ndarray:
     """One bit table of fixed size for a column of names; each slice of it comes back once."""
     slices = wanted.mapInArrow(_wanted_slices, "slice int, bits binary").groupBy("slice")
     width = (1 << SLICE_BITS) // 8
-    cells = np.zeros((1 << CELL_BITS) // 8, np.uint8)
+    cells = np.zeros((1 << WANTED_BITS) // 8, np.uint8)
     for row in slices.applyInArrow(_merge_slices, "slice int, bits binary").toLocalIterator():
         cells[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), np.uint8)
     return cells
@@ -306,7 +324,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
         keep = [
-            similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64))
+            similar(_long(a.as_buffer()), _long(b.as_buffer()))
             for a, b in zip(batch.column("a"), batch.column("b"))
         ]
         yield pa.RecordBatch.from_arrays(

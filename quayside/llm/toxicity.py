@@ -29,6 +29,7 @@ from quayside.llm.hashed_text import bucket, char_grams, doc_batches, training_r
 
 WORDS, GRAMS = 1 << 15, 1 << 15
 DIM, HIDDEN, ATTENTION = 8, 8, 8
+LEAST_STEPS = 250
 _STRIP = ".,;:!?\"'()[]{}«»“”"
 
 
@@ -184,7 +185,8 @@ def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, bat
     sides = [np.flatnonzero(labels == y) for y in (0, 1)]
     rng = np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.params.items()}
-    steps = epochs * max(1, 2 * len(sides[1]) // batch)
+    # Small samples are gone through more often.
+    steps = max(LEAST_STEPS, epochs * 2 * len(sides[1]) // batch)
     for step in range(1, steps + 1):
         chosen = np.concatenate([rng.choice(side, min(batch // 2, len(side)), replace=False) for side in sides])
         words, mask, owner = _layout([texts[i] for i in chosen], width)
