@@ -30,6 +30,7 @@ from quayside.llm.hashed_text import bucket, char_grams, doc_batches, training_r
 WORDS, GRAMS = 1 << 15, 1 << 15
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 LEAST_STEPS = 250
+LEAST_TEXTS = 4  # features of fewer training texts than this stay zero: they could only be learnt by heart
 _STRIP = ".,;:!?\"'()[]{}«»“”"
 
 
@@ -172,6 +173,23 @@ def _layout(texts: Sequence[np.ndarray], width: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(words).T, np.concatenate(mask).T, np.concatenate(owner)
 
 
+def _odds(vocabulary: Vocabulary, texts: Sequence[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Log-odds of hashed words and n-grams between texts of label 1 and 0, drawn towards 0; 0 for rare ones."""
+    counts = {"word": np.zeros((2, WORDS)), "gram": np.zeros((2, GRAMS))}
+    for ids, y in zip(texts, labels.astype(int)):
+        distinct = np.unique(ids)
+        if len(distinct):
+            counts["word"][y, np.unique(vocabulary.word[distinct])] += 1
+            counts["gram"][y, np.unique(vocabulary.grams_of(distinct)[0])] += 1
+    total = np.bincount(labels.astype(int), minlength=2)
+    out = {}
+    for name, (no, yes) in counts.items():
+        share = (yes + no) / total.sum()
+        odds = np.log((yes + 2 * share + 0.02) / (total[1] + 2)) - np.log((no + 2 * share + 0.02) / (total[0] + 2))
+        out[name] = np.where(yes + no >= LEAST_TEXTS, np.clip(odds, -4, 4), 0.0).astype(np.float32)
+    return out
+
+
 def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 11) -> Model:
     """A model of ``(label 0 or 1, text)`` rows; label 1 and 0 weigh the same in every batch."""
     model = Model.fresh(width, seed)
@@ -182,6 +200,11 @@ def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, bat
     texts = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for _, t in rows]
     vocabulary = Vocabulary(list(number))
     labels = np.array([y for y, _ in rows], np.float32)
+    odds = _odds(vocabulary, texts, labels)
+    for name, value in odds.items():
+        model.params[name][value == 0] = 0
+        model.params[name][:, 0] = value / 2
+    signs = np.maximum(odds["word"][vocabulary.word], 0) + np.maximum(np.maximum.reduceat(odds["gram"][vocabulary.grams], vocabulary.offset), 0)
     sides = [np.flatnonzero(labels == y) for y in (0, 1)]
     rng = np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.params.items()}
@@ -197,7 +220,9 @@ def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, bat
         logits = model.forward(ways[0][words], ways[1][words], mask)
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         ends = np.append(first[1:], len(owner))
-        worst = np.array([a + int(np.argmax(logits[a:b])) for a, b in zip(first, ends)])
+        # At first a text's worst window is where single words say so, since the network knows nothing yet.
+        rank = logits if step > 0.3 * steps else np.where(mask, signs[distinct[words]], 0).max(axis=0)
+        worst = np.array([a + int(np.argmax(rank[a:b])) for a, b in zip(first, ends)])
         words, mask = words[:, worst], mask[:, worst]
         trace: dict = {}
         logits = model.forward(ways[0][words], ways[1][words], mask, trace)
@@ -210,6 +235,8 @@ def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, bat
         np.add.at(g["word"], vocabulary.word[distinct[used]], per_word[:, :DIM])
         at, sizes = vocabulary.grams_of(distinct[used])
         np.add.at(g["gram"], at, np.repeat(per_word[:, DIM:] / sizes[:, None], sizes, axis=0))
+        for name, value in odds.items():
+            g[name][value == 0] = 0
         now = rate * (1 - 0.9 * step / steps)
         for k, v in g.items():
             m, s = moments[k]
