@@ -38,7 +38,7 @@ LENGTH = 100
 HALF = 64
 WIDTH = LENGTH - HALF + 1
 #: Text that one task of the second sort should get, in bytes of input.
-SHARE = 8_000_000
+SHARE = 1_000_000
 NO_ID = -(1 << 63)
 _MET = 200_000
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
