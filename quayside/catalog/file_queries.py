@@ -25,7 +25,7 @@ from quayside.operators.incremental import filter_incremental
 from quayside.operators.tokenize import apply_template
 from quayside.plans.landing import RunConfig, land, verdict
 from quayside.session import run_folder
-from quayside.sinks.files import FORMATS, sink_csv, sink_format, sink_observed, sink_partitioned
+from quayside.sinks.files import FORMATS, read_options, sink_csv, sink_format, sink_observed, sink_partitioned
 from quayside.sinks.state import StateTable, mark_processed
 from quayside.sinks.warehouse import add_load_timestamp, sink_warehouse_gated
 from quayside.sources.files import scan_csv, scan_csv_glob, scan_parquet, scan_staged
@@ -365,6 +365,7 @@ def _stream_audit(spark, t):
 
 # --- whole runs -------------------------------------------------------------------------------
 
+# The three checks of a live run.
 LIVE_CHECKS = [
     "expect_column_values_to_be_null('masterCard')",
     "expect_column_to_exist('masterCard')",
@@ -436,3 +437,62 @@ def _landing_incremental(spark, t):
     base = run_folder(spark, "incremental")
     sink_csv(filter_incremental(t.events, "ts", "2024-01-15"), base)
     return scan_csv(spark, base, t.events.schema)
+
+
+PADDED = """select c_custkey, case c_custkey % 5 when 0 then concat('  ', c_name) when 1 then concat(c_name, '  ')
+  when 2 then '' when 3 then null else concat(' ', c_name, ' ') end as padded from {customer}"""
+
+
+@query("sink_csv_padded", PADDED)
+def _sink_csv_padded(spark, t):
+    """Blanks at either end, empty texts and missing values come back as what they were."""
+    rows = t.sql(PADDED)
+    path = sink_csv(rows, run_folder(spark, "padded"))
+    return spark.read.schema(rows.schema).options(**read_options("csv")).csv(path)
+
+
+def _plain_run(spark, base, schema):
+    config = RunConfig(
+        asset_id="1002",
+        source_path=f"{base}/raw",
+        landing_zone=f"{base}/landing",
+        secured_zone=f"{base}/secured",
+        audit_path=f"{base}/audit",
+        warehouse_table=f"{base}/warehouse",
+        schema=schema,
+        dw_load_ind="True",
+    )
+    return config, land(spark, config, RUN_TS)
+
+
+@query(
+    "landing_rejected",
+    """select count(*) filter (where o_orderkey % 10 <> 3) as source_records,
+       count(*) filter (where o_orderkey % 10 <> 3) as destination_records,
+       count(*) filter (where o_orderkey % 10 = 3) as rejected, count(*) filter (where o_orderkey % 10 = 3) = 0 as match,
+       max(case when o_orderkey % 10 = 3 then 'Ingestion_failed' else 'Ingestion_' end) as job_status from {orders}""",
+)
+def _landing_rejected(spark, t):
+    """Lines that do not fit the schema are kept apart and counted, and the run is no match."""
+    base = run_folder(spark, "rejected")
+    sink_csv(
+        t.orders.selectExpr("if(o_orderkey % 10 = 3, 'xx', cast(o_orderkey as string)) as o_orderkey", "o_orderstatus"), f"{base}/raw"
+    )
+    config, report = _plain_run(spark, base, "o_orderkey bigint, o_orderstatus string")
+    kept = spark.read.text(f"{report.landing}_rejected").agg(F.count(F.lit(1)).alias("rejected"))
+    kinds = {"source_records": "bigint", "destination_records": "bigint", "match": "boolean"}
+    counts = [F.lit(report.counts[n]).cast(kind).alias(n) for n, kind in kinds.items()]
+    stored = spark.read.parquet(config.audit_path).select("job_status", F.lit(report.rejected).cast("bigint").alias("rejected"))
+    # One record and one count.
+    return stored.join(kept, "rejected").select("rejected", "job_status", *counts)
+
+
+@query("landing_rerun", "select o_orderkey, o_orderstatus, o_totalprice from {orders} where o_orderkey % 2 = 0")
+def _landing_rerun(spark, t):
+    """A run that is repeated over a smaller source leaves that source's rows alone in the warehouse."""
+    base = run_folder(spark, "rerun")
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for source in (rows, rows.where("o_orderkey % 2 = 0")):
+        sink_csv(source, f"{base}/raw")
+        config, report = _plain_run(spark, base, rows.schema)
+    return spark.read.parquet(config.warehouse_table).select(rows.columns)

@@ -253,3 +253,35 @@ UNEXPECTED = [
 )
 def _dq_unexpected(spark, t):
     return unexpected_rows(_staged(t), UNEXPECTED, ["customer_id"])
+
+
+# Checks that cannot run, each with the reason for its row, over a table with a column of each kind.
+MISTAKES = [
+    ("expect_column_max_to_be_between('d', 1, 10)", "d", "bound does not fit the column"),
+    ("expect_column_max_to_be_between('d', 'x', 'y')", "d", "bound does not fit the column"),
+    ("expect_column_min_to_be_between('i', 'a', 'b')", "i", "bound does not fit the column"),
+    ("expect_column_value_lengths_to_be_between('s', 'a', 'b')", "s", "bound does not fit the column"),
+    ("expect_column_mean_to_be_between('i', 'a', None)", "i", "bound does not fit the column"),
+    ("expect_column_median_to_be_between('i', 'a', None)", "i", "bound does not fit the column"),
+    ("expect_column_max_to_be_between('m', 1, 2)", "m", "column has no order"),
+    ("expect_table_row_count_to_be_between('a', 'b')", None, "bound does not fit the column"),
+    ("expect_table_column_count_to_be_between('a', 'b')", None, "bound does not fit the column"),
+    ("expect_match_strftime_format('s', '%Q')", "s", "time format is not served"),
+]
+_MISTAKES_SQL = " union all ".join(
+    f"""select '{call.split("(")[0]}' as expectation, {f"'{column}'" if column else "cast(null as varchar)"} as column_name,
+    false as success, '{error}' as error, count(*) >= 0 as has_rows from {{orders}}"""
+    for call, column, error in MISTAKES
+)
+
+
+@query("dq_suite_mistakes", _MISTAKES_SQL)
+def _dq_suite_mistakes(spark, t):
+    """A check that cannot run gives a row with its reason; the others run."""
+    table = t.orders.selectExpr(
+        "cast(o_orderkey as int) as i", "cast(o_orderdate as date) as d", "o_orderstatus as s", "map('k', o_orderkey) as m"
+    )
+    suite = [call for call, _, _ in MISTAKES] + ["expect_table_row_count_to_be_between(0, None)"]
+    results = run_suite(table, suite)
+    good = results.where("error is null").agg({"success": "min"}).first()[0]  # of the one check that runs
+    return results.where("error is not null").selectExpr("expectation", "column_name", "success", "error", f"{str(good).lower()} as has_rows")

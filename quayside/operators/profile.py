@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.quality import observed_text
+from quayside.operators.quality import has_order, observed_text
 from quayside.operators.values import count_values, quantiles, value_key, value_stats
 
 COLUMNS_PER_PASS = 10
@@ -37,7 +37,9 @@ def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs, cells = [F.count(F.lit(1)).alias("rows")], []
     for at, name in enumerate(columns):
         value, kind = F.col(name), df.schema[name].dataType
-        measures = {"seen": F.count(value), "min": F.min(value), "max": F.max(value)}
+        measures = {"seen": F.count(value)}
+        if has_order(kind):
+            measures |= {"min": F.min(value), "max": F.max(value)}
         if isinstance(kind, T.NumericType):
             measures |= {"mean": F.avg(value), "std": F.stddev_samp(value)}
         if isinstance(kind, T.StringType):
@@ -55,8 +57,8 @@ def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.col("rows").alias("row_count"),
                 nulls.alias("null_count"),
                 F.when(F.col("rows") > 0, F.lit(100.0) * nulls / F.col("rows")).alias("null_pct"),
-                observed_text(F.col(f"min_{at}"), kind).alias("min_value"),
-                observed_text(F.col(f"max_{at}"), kind).alias("max_value"),
+                observed_text(found("min", "string"), kind).alias("min_value"),
+                observed_text(found("max", "string"), kind).alias("max_value"),
                 F.round(found("mean", "double"), 4).cast("double").alias("mean_value"),
                 F.round(found("std", "double"), 4).cast("double").alias("std_value"),
                 found("short", "int").alias("min_length"),
@@ -142,16 +144,22 @@ def profile_quantiles(
 def profile_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts in ``bins`` equally wide ranges from the least to the greatest value, empty ones too.
 
-    The last range holds the greatest value.
+    The last range holds the greatest value. Values without a place among the ranges (NaN and the
+    infinities) have a row of their own, ``bin`` -1 without bounds, if there are any.
     """
-    value = F.col(column).cast("double")
+    given = F.col(column).cast("double")
+    finite = ~F.isnan(given) & (F.abs(given) < F.lit(float("inf")))
+    value = F.when(finite, given)
+    odd = df.where(~finite).agg(F.count(F.lit(1)).alias("records")).where("records > 0").selectExpr(
+        "-1 as bin", "cast(null as double) as low", "cast(null as double) as high", "records"
+    )
     low, high = df.agg(F.min(value), F.max(value)).first()
     if low is None:
-        return df.sparkSession.createDataFrame([], "bin int, low double, high double, records bigint")
+        return odd
     width = (high - low) / bins
     at = F.lit(0) if width == 0 else F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
     counts = (
-        df.where(F.col(column).isNotNull())
+        df.where(value.isNotNull())
         .groupBy(at.cast("int").alias("at"))
         .agg(F.count(F.lit(1)).alias("found"))
     )
@@ -161,5 +169,5 @@ def profile_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         (F.lit(low) + F.col("bin") * F.lit(width)).alias("low"),
         (F.lit(low) + (F.col("bin") + 1) * F.lit(width)).alias("high"),
         F.coalesce("found", F.lit(0)).cast("bigint").alias("records"),
-    )
+    ).unionByName(odd)
 

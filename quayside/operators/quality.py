@@ -11,8 +11,10 @@ fails with the reason in ``error``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,7 +58,7 @@ DIRECTIVES = {
     "%B": "MMMM",
     "%a": "EEE",
     "%A": "EEEE",
-    "%%": "'%'",
+    "%%": "%",
 }
 DEFAULT_FORMAT = "%Y-%m-%d %H:%M:%S"
 
@@ -93,15 +95,24 @@ TYPE_NAMES = {
 
 def time_pattern(fmt: str) -> str | None:
     """A strftime format as a datetime pattern; None for a directive that is not served."""
-    out, at = [], 0
+    out: list[str] = []
+    literal, at = "", 0
     while at < len(fmt):
-        step = 2 if fmt[at] == "%" else 1
-        piece = fmt[at : at + step]
-        if step == 2 and piece not in DIRECTIVES:
+        piece = fmt[at : at + (2 if fmt[at] == "%" else 1)]
+        if piece[0] == "%" and piece not in DIRECTIVES:
             return None
-        out.append(DIRECTIVES[piece] if step == 2 else f"'{piece}'" if piece.isalpha() else piece)
-        at += step
-    return "".join(out)
+        if piece[0] != "%" or piece == "%%":
+            literal += piece[-1]
+        else:
+            out += [_quoted(literal), DIRECTIVES[piece]]
+            literal = ""
+        at += len(piece)
+    return "".join([*out, _quoted(literal)])
+
+
+def _quoted(literal: str) -> str:
+    """Text between directives as it stands: brackets, braces and hashes mean something in patterns."""
+    return "'" + literal.replace("'", "''") + "'" if literal else ""
 
 
 # --- checks of single rows ----------------------------------------------------------------------
@@ -197,7 +208,9 @@ def _problem(df: DataFrame, item: Expectation) -> str | None:
     if item.name not in ALL_CHECKS:
         return "unknown expectation"
     if item.name.startswith("expect_table_"):
-        return None if len(item.args) in _arg_counts(item.name) else "wrong number of arguments"
+        if len(item.args) not in _arg_counts(item.name):
+            return "wrong number of arguments"
+        return None if all(_fits(b, T.LongType()) for b in item.args) else "bound does not fit the column"
     if item.column is None:
         return "no column"
     if item.column not in df.columns:
@@ -209,11 +222,48 @@ def _problem(df: DataFrame, item: Expectation) -> str | None:
     kind = df.schema[item.column].dataType
     if item.name in (*AGGREGATE_CHECKS[2:], MEDIAN_CHECK) and not isinstance(kind, T.NumericType):
         return "column is not numeric"
+    if item.name in AGGREGATE_CHECKS[:2] and not has_order(kind):
+        return "column has no order"
+    if item.name.endswith(("_between", "_equal")) and not all(_fits(b, _bound_type(item, kind)) for b in item.args):
+        return "bound does not fit the column"
+    if item.name == "expect_match_strftime_format" and item.args and not isinstance(item.args[0], str):
+        return "time format is not a text"
     if item.name == "expect_match_strftime_format" and item.args and time_pattern(item.args[0]) is None:
         return "time format is not served"
     return None
 
 
+def has_order(kind: T.DataType) -> bool:
+    """Whether values of a type have a least and a greatest one."""
+    if isinstance(kind, T.ArrayType):
+        return has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
+def _bound_type(item: Expectation, kind: T.DataType) -> T.DataType:
+    return kind if item.name in AGGREGATE_CHECKS[:2] else T.DoubleType()
+
+
+def _fits(bound, kind: T.DataType) -> bool:
+    """Whether a bound can be compared with values of the type; a missing one always can."""
+    if bound is None:
+        return True
+    if isinstance(kind, T.NumericType):
+        return isinstance(bound, (int, float, Decimal)) and not isinstance(bound, bool)
+    if isinstance(kind, T.StringType):
+        return isinstance(bound, (str, int, float, Decimal))
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(bound, (dt.date, dt.datetime)):
+            return True
+        try:
+            return isinstance(bound, str) and bool(dt.datetime.fromisoformat(bound.strip()))
+        except ValueError:
+            return False
+    return isinstance(kind, T.BooleanType) and isinstance(bound, bool)
+
+
 def _within(value, bounds: tuple) -> bool:
     low, high = bounds
     return (low is None or value >= low) and (high is None or value <= high)
@@ -313,7 +363,7 @@ def _aggregate_pass(df: DataFrame, items: Sequence[Expectation]) -> DataFrame:
         whole = isinstance(kind, T.IntegralType)
         # Whole numbers are summed as decimals: exact, in any order, past the range of a long.
         summed = value.cast("decimal(20,0)") if whole else value
-        aggs[f"agg_{at}"] = {"max": F.max, "min": F.min, "mean": F.avg, "sum": F.sum}[how](
+        aggs[f"agg_{at}"] = {"max": F.max, "min": F.min, "mean": F.try_avg, "sum": F.try_sum}[how](
             summed if how == "sum" else value
         )
         got = F.col(f"agg_{at}")

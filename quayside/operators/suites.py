@@ -53,10 +53,13 @@ def from_call(text: str) -> Expectation:
 def from_nested(suite: Mapping) -> Iterator[Expectation]:
     """``{name: {"columns": [column, [args], ...]}}`` and ``{name: {"values": [...]}}``."""
     for name, body in suite.items():
+        if not isinstance(body, Mapping):
+            yield Expectation(str(name), error="neither a list nor a table of checks")
+            continue
         if "values" in body:
             yield Expectation(_named(name), None, tuple(body["values"]))
             continue
-        columns = body.get("columns") if isinstance(body, Mapping) else None
+        columns = body.get("columns")
         if columns is None:  # a title around the suite
             yield from from_nested(body)
             continue
@@ -71,8 +74,7 @@ def read_suite(suite) -> list[Expectation]:
     if isinstance(suite, str):
         suite = json.loads(suite)
     if isinstance(suite, Mapping):
-        lists = [v for v in suite.values() if isinstance(v, list)]
-        if not lists:
-            return list(from_nested(suite))
-        suite = [item for listed in lists for item in listed]
+        nested = {k: v for k, v in suite.items() if not isinstance(v, list)}
+        listed = [item for v in suite.values() if isinstance(v, list) for item in v]
+        return [*read_suite(listed), *from_nested(nested)]
     return [item if isinstance(item, Expectation) else from_call(item) for item in suite]

@@ -21,10 +21,11 @@ from quayside.operators.tokenize import apply_template
 from quayside.plans.stages import stages_for
 from quayside.session import durable
 from quayside.sinks.audit_log import append_audit
-from quayside.sinks.files import sink_format, sink_partitioned
+from quayside.sinks.files import read_options, sink_format, sink_partitioned
 from quayside.sinks.state import StateTable, store_watermark
 from quayside.sinks.warehouse import add_load_timestamp, sink_warehouse_gated
-from quayside.sources.files import scan_csv
+from quayside.sources.files import CORRUPT_COLUMN, scan_csv
+from quayside.sources.tables import LOAD_TS
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,7 @@ class RunReport:
     profile: DataFrame | None
     watermark: DataFrame | None
     audit: DataFrame
+    rejected: int = 0  # lines that did not fit the schema; their texts are in ``<landing>_rejected``
 
 
 def folders(config: RunConfig, run_ts: dt.datetime) -> tuple[str, str]:
@@ -80,25 +82,98 @@ def _write(df: DataFrame, path: str, config: RunConfig) -> int:
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if config.column_partition:
-        sink_partitioned(rows, path, [config.column_partition], config.output_format)
+        # The folder is the run's own: partitions of an earlier attempt must not stay.
+        sink_partitioned(rows, path, [config.column_partition], config.output_format, replace="static")
     else:
         sink_format(rows, path, config.output_format)
     return seen.get["rows"]
 
 
 def _read(spark: SparkSession, path: str, config: RunConfig, schema: StructType) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True)
+    reader = spark.read.schema(schema).options(**read_options(config.output_format)).option("header", True)
     if config.multi_line:
         reader = reader.option("multiLine", True)
     return reader.format(config.output_format).load(path)
 
 
+def _task_run(spark: SparkSession, config: RunConfig, run_ts: dt.datetime, state: str) -> DataFrame:
+    now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    return spark.range(1).select(
+        F.lit(config.dag_id).alias("dag_id"),
+        F.lit(config.asset_id).alias("source_name"),
+        F.lit(state).alias("state"),
+        now.alias("execution_date"),
+        now.alias("start_date"),
+        now.alias("end_date"),
+        F.lit(1).alias("try_number"),
+    )
+
+
+def _settings(config: RunConfig) -> dict[str, str]:
+    return {
+        "asset_id": config.asset_id,
+        "job_type": config.job_type,
+        "task_type": config.task_type,
+        "group_name": config.group_name,
+        "project": config.project,
+    }
+
+
+def _ingestion_record(spark: SparkSession, config: RunConfig, run_ts: dt.datetime, state: str, read: int, wrote: int) -> DataFrame:
+    return audit_record(
+        _task_run(spark, config, run_ts, state),
+        "files_to_files",
+        run_ts,
+        task_name="Ingestion_",
+        database=config.landing_zone,
+        destination=folders(config, run_ts)[0],
+        source_count=read,
+        destination_count=wrote,
+        **_settings(config),
+    )
+
+
+def _parse(spark: SparkSession, config: RunConfig, landing: str) -> tuple[DataFrame, int]:
+    """The source's records, and how many lines do not fit its schema; those go to ``<run>_rejected``.
+
+    With a schema the source is parsed into a columnar copy beside the text of lines that do not
+    fit, among them both halves of a record that a newline has split. Without one types come from
+    the data, so every line fits.
+    """
+    options = {"recursive": True, "glob": "*.csv", "multi_line": config.multi_line}
+    if config.schema is None:
+        return scan_csv(spark, config.source_path, None, **options), 0
+    # Read once as it was before, for its check of the header's order.
+    scan_csv(spark, config.source_path, config.schema, **options).take(1)
+    copy = durable(scan_csv(spark, config.source_path, config.schema, keep_corrupt=True, **options), "parsed")
+    broken = copy.where(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("value"))
+    rejected = broken.count()
+    if rejected:
+        broken.write.mode("overwrite").text(f"{landing}_rejected")
+    return copy.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN), rejected
+
+
 def land(
     spark: SparkSession,
     config: RunConfig,
     run_ts: dt.datetime,
     key: bytes | None = None,
     surrogates: Mapping[str, SurrogateMap] | None = None,
+) -> RunReport:
+    """One run (see ``_land``); a run that fails leaves a record that says so, and the error is raised."""
+    try:
+        return _land(spark, config, run_ts, key, surrogates)
+    except Exception:
+        append_audit(_ingestion_record(spark, config, run_ts, "failed", -1, -1), config.audit_path)
+        raise
+
+
+def _land(
+    spark: SparkSession,
+    config: RunConfig,
+    run_ts: dt.datetime,
+    key: bytes | None = None,
+    surrogates: Mapping[str, SurrogateMap] | None = None,
 ) -> RunReport:
     """Land the source, protect it, check it, load it, count both sides and record the run.
 
@@ -108,15 +183,15 @@ def land(
     """
     tokenizes, checks = stages_for(config.tokenization_check, config.data_quality_check)
     landing, secured = folders(config, run_ts)
-    source = scan_csv(
-        spark, config.source_path, config.schema, recursive=True, glob="*.csv", multi_line=config.multi_line
-    )
-    wanted = filter_incremental(source, config.incremental_column, config.incremental_column_value)
+    parsed, rejected = _parse(spark, config, landing)
+    wanted = filter_incremental(parsed, config.incremental_column, config.incremental_column_value)
     read = _write(wanted, landing, config)
-    landed = _read(spark, landing, config, source.schema)
+    landed = _read(spark, landing, config, parsed.schema)
 
     if config.dw_load_ind == "True":
-        sink_warehouse_gated(add_load_timestamp(landed, run_ts), config.warehouse_table, config.dw_load_ind)
+        sink_warehouse_gated(
+            add_load_timestamp(landed, run_ts), config.warehouse_table, config.dw_load_ind, load_column=LOAD_TS
+        )
 
     checked = landed
     if tokenizes:
@@ -142,7 +217,7 @@ def land(
         source_records=read,
         destination_records=wrote,
         diff=read - wrote,
-        match=read == wrote,
+        match=read == wrote and not rejected,
     )
     if config.state_path and row["match"]:
         state = StateTable(spark, config.state_path)
@@ -151,36 +226,9 @@ def land(
         if newest is not None and "incremental_column_value" in state.read().columns:
             state.replace(store_watermark(state.read(), config.asset_id, newest))
 
-    now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
-    run = spark.range(1).select(
-        F.lit(config.dag_id).alias("dag_id"),
-        F.lit(config.asset_id).alias("source_name"),
-        F.lit("success").alias("state"),
-        now.alias("execution_date"),
-        now.alias("start_date"),
-        now.alias("end_date"),
-        F.lit(1).alias("try_number"),
-    )
-    same = {
-        "asset_id": config.asset_id,
-        "job_type": config.job_type,
-        "task_type": config.task_type,
-        "group_name": config.group_name,
-        "project": config.project,
-    }
-    records = [
-        audit_record(
-            run,
-            "files_to_files",
-            run_ts,
-            task_name="Ingestion_",
-            database=config.landing_zone,
-            destination=landing,
-            source_count=row["source_records"],
-            destination_count=row["destination_records"],
-            **same,
-        )
-    ]
+    run, same = _task_run(spark, config, run_ts, "success"), _settings(config)
+    outcome = "success" if row["match"] else "failed"
+    records = [_ingestion_record(spark, config, run_ts, outcome, row["source_records"], row["destination_records"])]
     if checks:
         records.append(
             audit_record(
@@ -195,7 +243,7 @@ def land(
         )
     audit = union_audit(*records)
     append_audit(audit, config.audit_path)
-    return RunReport(landing, secured if tokenizes else None, row, quality, profile, watermark, audit)
+    return RunReport(landing, secured if tokenizes else None, row, quality, profile, watermark, audit, rejected)
 
 
 def verdict(report: RunReport) -> DataFrame:

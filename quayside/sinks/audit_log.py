@@ -7,7 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORD_KEY = ("audit_id", "job_type", "job_status", "no_of_retries", "job_start_time")
+#: What tells records apart; those of some profiles lack a field. Counts are part of it, so a run that
+#: is repeated over a changed source adds a record, and one that is repeated as it was adds none.
+RECORD_KEY = (
+    "audit_id",
+    "job_type",
+    "job_status",
+    "no_of_retries",
+    "job_start_time",
+    "source_number_of_records",
+    "destination_number_of_records",
+)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
@@ -16,9 +26,21 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_audit(records: DataFrame, path: str, key: Sequence[str] = RECORD_KEY) -> str:
-    """Append the records whose key is not in the table, so that a repeated call adds nothing."""
+    """Append the records whose key is not in the table, each once, so that a repeated call adds nothing.
+
+    Of the stored records only those of the same dates are read, where both sides have a date.
+    """
+    key = [k for k in key if k in records.columns]
     records.limit(0).write.mode("ignore").parquet(path)  # makes the table when there is none
-    stored = records.sparkSession.read.schema(records.select(*key).schema).parquet(path)
+    dated = "ingestion_date" in records.columns
+    wanted = [*key, *(["ingestion_date"] if dated and "ingestion_date" not in key else [])]
+    stored = records.sparkSession.read.schema(records.select(*wanted).schema).parquet(path)
+    if dated:
+        # The dates of one call are as many as it has runs.
+        days = [r[0] for r in records.select("ingestion_date").distinct().collect()]
+        named = [d for d in days if d is not None]
+        stored = stored.where(F.col("ingestion_date").isin(named) | F.col("ingestion_date").isNull())
+    records = records.dropDuplicates(key)
     known = stored.select(*[F.col(k).alias(f"known_{k}") for k in key])
     same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in key]
     records.join(known, same, "left_anti").write.mode("append").parquet(path)

@@ -16,42 +16,61 @@ TEXT_OPTIONS = {
 }
 
 
+# Values are written as they are; the writer's default cuts blanks off their ends.
+CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+# A missing value is written as nothing and an empty text as two quotes. Read back with a null mark
+# that no value has, both come back as what they were.
+ZONE_NULL = {"nullValue": "\u0001"}
+
+
 def write_options(fmt: str) -> dict[str, str]:
-    header = {"header": "true"} if fmt == "csv" else {}
-    return {**header, **(TEXT_OPTIONS if fmt in ("csv", "json") else {})}
+    return {**(CSV_OPTIONS if fmt == "csv" else {}), **(TEXT_OPTIONS if fmt in ("csv", "json") else {})}
+
+
+def read_options(fmt: str) -> dict[str, str]:
+    """Options with which the engine reads the zones that it has written."""
+    return {**write_options(fmt), **(ZONE_NULL if fmt == "csv" else {})}
 
 
 def sink_csv(df: DataFrame, path: str) -> str:
     return sink_format(df, path, "csv")
 
 
-def sink_format(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> str:
-    """Write in one of the served formats; CSV gets a header line."""
+def sink_format(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", **options: str) -> str:
+    """Write in one of the served formats; CSV gets a header line. ``options`` go to the writer."""
     if fmt not in FORMATS:
         raise ValueError(f"output format {fmt!r} is not one of {', '.join(FORMATS)}")
-    df.write.format(fmt).mode(mode).options(**write_options(fmt)).save(path)
+    df.write.format(fmt).mode(mode).options(**{**write_options(fmt), **options}).save(path)
     return path
 
 
 def sink_partitioned(
-    df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet", files_per_value: int | None = None
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str],
+    fmt: str = "parquet",
+    files_per_value: int | None = None,
+    replace: str = "dynamic",
+    **options: str,
 ) -> str:
-    """Write one folder per partition value; a rewrite replaces only the partitions it holds.
+    """Write one folder per partition value; a rewrite replaces only the partitions it holds, or with
+    ``replace="static"`` the whole folder.
 
     Rows stay in the tasks that made them, so a value that holds a large share of the rows is
     written by many tasks. Where the column has many values that makes many small files:
     ``files_per_value`` gathers the rows of each value into that many tasks first, still never one.
     """
     if not columns:
-        return sink_format(df, path, fmt)
+        return sink_format(df, path, fmt, **options)
     if files_per_value:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
         df = df.repartition(*columns, salt)
     (
         df.write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**write_options(fmt))
+        .option("partitionOverwriteMode", replace)
+        .options(**{**write_options(fmt), **options})
         .partitionBy(*columns)
         .save(path)
     )

@@ -16,16 +16,25 @@ def add_load_timestamp(df: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def sink_warehouse_gated(
-    df: DataFrame, table: str, load_flag: str, fmt: str = "parquet", by_name: bool = False, **options: str
+    df: DataFrame,
+    table: str,
+    load_flag: str,
+    fmt: str = "parquet",
+    by_name: bool = False,
+    load_column: str | None = None,
+    **options: str,
 ) -> bool:
     """Append when the flag is exactly ``'True'``; says whether it wrote.
 
     ``table`` is a folder, or a table name when ``by_name`` is set. ``options`` go to the connector,
-    such as the bucket it stages through.
+    such as the bucket it stages through. With ``load_column`` the table is partitioned by it, and
+    a load that is repeated replaces its own rows instead of adding them again.
     """
     if load_flag != "True":
         return False
     writer = df.write.mode("append").format(fmt).options(**options)
+    if load_column:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(load_column)
     if by_name:
         writer.saveAsTable(table)
     else:

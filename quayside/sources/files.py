@@ -32,7 +32,7 @@ def scan_csv(
         if isinstance(schema, str):
             schema = StructType.fromDDL(schema)
         if keep_corrupt:
-            schema = StructType(schema.fields).add(CORRUPT_COLUMN, "string")
+            schema = StructType([*schema.fields]).add(CORRUPT_COLUMN, "string")
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         reader = reader.schema(schema).option("enforceSchema", keep_corrupt)
     if multi_line:
