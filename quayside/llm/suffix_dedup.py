@@ -9,11 +9,12 @@ Spark sorts positions by name twice, and drops those that are unique:
 1. At 64 bytes. Every 100-byte string holds 37 strings of 64 bytes; the one with the least name is
    its anchor, which equal strings share. So only anchors are sorted (one position of nineteen),
    packed by name range. Their names that occur once are dropped with all strings they anchor.
-2. At 100 bytes, the threshold. What is left is shuffled as stretches of neighbouring starts with
-   one anchor name. Each name keeps its earliest position; all others are marked.
+2. At 100 bytes, the threshold. What is left are stretches of neighbouring starts with one anchor
+   name. They are sorted by name and by a print of their bytes: equal ones keep the earliest and mark
+   the others. Only where a name has stretches of several prints do the earliest ones' texts travel:
+   their strings are named at 100 bytes, each name keeps its earliest position, all others are marked.
 
-Stretches that a task has met before, at an earlier position, are marked at once and not sent as
-text, so a passage that very many documents share is sent about once a task. Marked stretches
+Stretches that a task has met before, at an earlier position, are marked at once. Marked stretches
 return to their documents, which cut them out. Documents without marks are not shuffled with their
 text.
 
@@ -28,6 +29,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,64 +100,125 @@ def _anchor_keys() -> Callable[[str | None], np.ndarray]:
     return keys
 
 
+STRETCH = "range int, name bigint, print bigint, inner boolean, id bigint, at int, n int"
 SENT = "range int, name bigint, id bigint, at int, n int, data binary"
+_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(zip(*rows), fields)], [n for n, _ in fields])
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _periodic(names: np.ndarray, least: np.ndarray) -> set[int]:
+    """Anchor names that one stretch may hold twice, so that it may repeat a string inside itself."""
+    room = np.zeros(WIDTH - 1, np.uint64)
+    spots = np.flatnonzero(_sliding(np.concatenate([room, least, room]), WIDTH, np.maximum) == names)
+    near = (np.diff(spots) <= WIDTH) & (names[spots[1:]] == names[spots[:-1]])
+    return set(names[spots[1:]][near].tolist())
+
+
+def _found(batches: Iterator[pa.RecordBatch], freq: Frequencies):
+    """Stretches of starts with one anchor name that may repeat: ``id, name, inner, at, end, bytes``."""
+    for key, text in _texts(batches):
+        data = (text or "").encode("utf-8", "surrogatepass")
+        names = half_names(data)
+        least = anchor_values(names)
+        if not len(least):
+            continue
+        edges = np.flatnonzero(least[1:] != least[:-1]) + 1
+        first, last = np.append(0, edges), np.append(edges, len(least))
+        values = least[first]
+        kept = np.flatnonzero(freq.repeats(values))
+        if not len(kept):
+            continue
+        doc, twice = NO_ID if key is None else key, _periodic(names, least)
+        for v, a, b in zip(values[kept].tolist(), first[kept].tolist(), last[kept].tolist()):
+            yield doc, v, v in twice, a, b, data[a : b + LENGTH - 1]
 
 
 def _stretches(known, range_bits: int):
-    """Stretches of starts with one anchor name that may repeat; ``data`` is null for marked ones."""
+    """Stretches by the 64-bit print of their bytes; ``print`` is null for those that are marked at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq: Frequencies = known.value
-        met: dict[bytes, tuple[int, int]] = {}
-        out: list[list] = [[], [], [], [], [], []]
-        held = 0
+        met: dict[int, tuple[int, int]] = {}
+        out: list[tuple] = []
+        for doc, v, inner, a, b, part in _found(batches, known.value):
+            mark = xxhash.xxh3_64_intdigest(part)
+            seen = met.get(mark)
+            settled = seen is not None and seen < (doc, a)
+            if not settled:
+                if len(met) >= _MET:
+                    met.clear()
+                met[mark] = (doc, a)
+            out.append((v >> (64 - range_bits), _signed(v), None if settled else _signed(mark), inner, doc, a, b - a))
+            if len(out) >= 50_000:
+                yield _batch(out, STRETCH)
+                out = []
+        if out:
+            yield _batch(out, STRETCH)
 
-        def flush() -> pa.RecordBatch:
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["range", "name", "id", "at", "n", "data"])
+    return run
 
-        for key, text in _texts(batches):
-            data = (text or "").encode("utf-8", "surrogatepass")
-            least = anchor_values(half_names(data))
-            if not len(least):
-                continue
-            doc = NO_ID if key is None else key
-            edges = np.flatnonzero(least[1:] != least[:-1]) + 1
-            first, last = np.append(0, edges), np.append(edges, len(least))
-            values = least[first]
-            kept = np.flatnonzero(freq.repeats(values))
-            for v, a, b in zip(values[kept].tolist(), first[kept].tolist(), last[kept].tolist()):
-                part = data[a : b + LENGTH - 1]
-                seen = met.get(part)
-                row = part
-                if seen is not None and seen < (doc, a):
-                    row = None
-                else:
-                    if len(met) >= _MET:
-                        met.clear()
-                    met[part] = (doc, a)
-                    held += len(part)
-                name = v - (1 << 64) if v >> 63 else v
-                for column, x in zip(out, (v >> (64 - range_bits), name, doc, a, b - a, row)):
-                    column.append(x)
-            if held > 4_000_000 or len(out[0]) > 100_000:
-                yield flush()
-                out, held = [[], [], [], [], [], []], 0
-        if out[0]:
-            yield flush()
+
+def _settle(table: pa.Table) -> pa.Table:
+    """Spans of stretches that are equal to an earlier one, and the earliest ones that are still open.
+
+    Open (``open`` true) is the earliest stretch of each print where an anchor name has stretches of
+    several prints, which may share some strings, or one that may repeat a string inside itself.
+    """
+    sure = pc.is_null(table.column("print"))
+    done = table.filter(sure)
+    rest = table.filter(pc.invert(sure)).sort_by([(k, "ascending") for k in ("name", "print", "id", "at")])
+    name, mark, ids, at, n = (rest.column(c).to_numpy() for c in ("name", "print", "id", "at", "n"))
+    inner = rest.column("inner").to_numpy(zero_copy_only=False).astype(bool)
+    new_name = np.append(True, name[1:] != name[:-1])[: len(name)]
+    new_mark = new_name | np.append(True, mark[1:] != mark[:-1])[: len(name)]
+    head = np.flatnonzero(new_mark)
+    own = head[np.cumsum(new_mark) - 1] if len(name) else head
+    later = (ids != ids[own]) | (at != at[own])
+    group = np.cumsum(new_name) - 1
+    prints = np.bincount(group[head], minlength=int(new_name.sum()))
+    twice = np.bincount(group[inner], minlength=int(new_name.sum()))
+    open_ = new_mark & ((prints > 1) | (twice > 0))[group] if len(name) else new_mark
+    parts = [(done.column("id").to_numpy(), done.column("at").to_numpy(), done.column("n").to_numpy(), False)]
+    parts += [(ids[later], at[later], n[later], False), (ids[open_], at[open_], n[open_], True)]
+    columns = [
+        pa.array(np.concatenate([p[0] for p in parts]).astype(np.int64)),
+        pa.array(np.concatenate([p[1] for p in parts]).astype(np.int64)),
+        pa.array(np.concatenate([p[1].astype(np.int64) + p[2] + LENGTH - 1 for p in parts])),
+        pa.array(np.concatenate([np.full(len(p[0]), p[3]) for p in parts])),
+    ]
+    return pa.table(columns, names=["id", "lo", "hi", "open"])
+
+
+def _open_texts(known, wanted, range_bits: int):
+    """The bytes of open stretches; a few others share a cell with one, which changes nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, out, held = wanted.value, [], 0
+        for doc, v, _, a, b, part in _found(batches, known.value):
+            if is_wanted(cells, f"{doc}:{a}"):
+                out.append((v >> (64 - range_bits), _signed(v), doc, a, b - a, part))
+                held += len(part)
+                if held > 4_000_000:
+                    yield _batch(out, SENT)
+                    out, held = [], 0
+        if out:
+            yield _batch(out, SENT)
 
     return run
 
 
 def _mark(table: pa.Table) -> pa.Table:
     """``id, lo, hi`` of the bytes to remove: of every 100-byte string but its earliest."""
-    sent = table.column("data")
-    settled = table.filter(sent.is_null())
-    table = table.filter(sent.is_valid()).sort_by([("id", "ascending"), ("at", "ascending")])
+    table = table.sort_by([("id", "ascending"), ("at", "ascending")])
     ids, at, n = (table.column(c).to_numpy() for c in ("id", "at", "n"))
-    lo = [settled.column("at").to_numpy().astype(np.int64)]
-    hi = [lo[0] + settled.column("n").to_numpy() + LENGTH - 1]
-    who = [settled.column("id").to_numpy()]
+    who, lo, hi = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if len(ids):
         data = b"".join(table.column("data").to_pylist())
         sizes = n.astype(np.int64) + LENGTH - 1
@@ -258,8 +322,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = spark.sparkContext.broadcast(count_keys(ids, _anchor_keys, 150))
     size = ids.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     range_bits = max(3, math.ceil(math.log2(size / SHARE))) if size > SHARE else 3
-    sent = ids.mapInArrow(_stretches(known, range_bits), SENT)
-    spans = sent.groupBy("range").applyInArrow(_mark, "id bigint, lo bigint, hi bigint")
+    stretches = ids.mapInArrow(_stretches(known, range_bits), STRETCH)
+    settled = durable(stretches.groupBy("range").applyInArrow(_settle, "id bigint, lo bigint, hi bigint, open boolean"), "stretches")
+    names = settled.where("open").select(F.concat_ws(":", "id", "lo"))
+    sent = ids.mapInArrow(_open_texts(known, spark.sparkContext.broadcast(wanted_cells(names)), range_bits), SENT)
+    shared = sent.groupBy("range").applyInArrow(_mark, "id bigint, lo bigint, hi bigint")
+    spans = settled.where("not open").select("id", "lo", "hi").unionByName(shared)
     marks = durable(spans.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "marks")
     wanted = spark.sparkContext.broadcast(wanted_cells(marks.select(F.col("id").cast("string"))))
     whole = ids.mapInArrow(_to_cut(wanted), "id bigint, n_bytes bigint, data binary, digest string")
