@@ -479,12 +479,14 @@ def _landing_rejected(spark, t):
         t.orders.selectExpr("if(o_orderkey % 10 = 3, 'xx', cast(o_orderkey as string)) as o_orderkey", "o_orderstatus"), f"{base}/raw"
     )
     config, report = _plain_run(spark, base, "o_orderkey bigint, o_orderstatus string")
-    kept = spark.read.text(f"{report.landing}_rejected").agg(F.count(F.lit(1)).alias("rejected"))
-    kinds = {"source_records": "bigint", "destination_records": "bigint", "match": "boolean"}
-    counts = [F.lit(report.counts[n]).cast(kind).alias(n) for n, kind in kinds.items()]
-    stored = spark.read.parquet(config.audit_path).select("job_status", F.lit(report.rejected).cast("bigint").alias("rejected"))
-    # One record and one count.
-    return stored.join(kept, "rejected").select("rejected", "job_status", *counts)
+    values = {
+        "source_records": (report.counts.source_records, "bigint"),
+        "destination_records": (report.counts.destination_records, "bigint"),
+        "rejected": (spark.read.text(f"{report.landing}_rejected").count(), "bigint"),
+        "match": (report.counts.match, "boolean"),
+    }
+    stored = spark.read.parquet(config.audit_path)
+    return stored.select(*(F.lit(v).cast(kind).alias(n) for n, (v, kind) in values.items()), "job_status")
 
 
 @query("landing_rerun", "select o_orderkey, o_orderstatus, o_totalprice from {orders} where o_orderkey % 2 = 0")
