@@ -119,6 +119,23 @@ def test_leaks(spark):
     assert len(got) == len({(r["doc_id"], r["item_id"]) for r in got})
 
 
+def test_leaks_of_items_with_moved_parts(spark):
+    rng = random.Random(9)
+    unlike = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    item = unlike(100)
+    turned = lambda k: " ".join([*unlike(40), *item[k:], *item[:k], *unlike(40)])
+    docs = [(k, turned(k)) for k in (0, 5, 12, 30, 50, 70, 88, 95)]
+    docs += [(100 + k, " ".join(item[k:] + item[:k])) for k in (12, 50, 88)] + [(None, turned(30))]
+    items = [(1, " ".join(item)), (2, " ".join(unlike(100))), (3, " ".join(item[:60]))]
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == brute.item_leaks(docs, items)
+    assert {r["doc_id"] for r in got if r["item_id"] == 1} == {d for d, _ in docs}
+    # A turned item keeps 92 of its 96 shingles, in the window that starts where it does.
+    for r in got:
+        if r["item_id"] == 1 and r["doc_id"] in (12, 30, 50, 70, 88):
+            assert (r["start"], r["similarity"]) == (40, 92 / 100)
+
+
 def test_block_masks_reach_every_pair_within_the_radius():
     rng = random.Random(5)
     masks = set(decontaminate.block_masks(8, 23 // 8))
