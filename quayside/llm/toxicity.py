@@ -30,7 +30,8 @@ from quayside.llm.hashed_text import bucket, char_grams, doc_batches, training_r
 WORDS, GRAMS = 1 << 15, 1 << 15
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 LEAST_STEPS = 250
-LEAST_TEXTS = 4  # features of fewer training texts than this stay zero: they could only be learnt by heart
+DOUBT = 4  # log-odds of a feature count half when it stands in this many training texts
+DECAY = 1.0  # word and n-gram vectors shrink by this times the rate in each step, so that rare ones are not learnt by heart
 _STRIP = ".,;:!?\"'()[]{}«»“”"
 
 
@@ -174,7 +175,7 @@ def _layout(texts: Sequence[np.ndarray], width: int) -> tuple[np.ndarray, np.nda
 
 
 def _odds(vocabulary: Vocabulary, texts: Sequence[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
-    """Log-odds of hashed words and n-grams between texts of label 1 and 0, drawn towards 0; 0 for rare ones."""
+    """Log-odds of hashed words and n-grams between texts of label 1 and 0, drawn towards 0 the more the rarer they are; 0 if not met."""
     counts = {"word": np.zeros((2, WORDS)), "gram": np.zeros((2, GRAMS))}
     for ids, y in zip(texts, labels.astype(int)):
         distinct = np.unique(ids)
@@ -186,7 +187,7 @@ def _odds(vocabulary: Vocabulary, texts: Sequence[np.ndarray], labels: np.ndarra
     for name, (no, yes) in counts.items():
         share = (yes + no) / total.sum()
         odds = np.log((yes + 2 * share + 0.02) / (total[1] + 2)) - np.log((no + 2 * share + 0.02) / (total[0] + 2))
-        out[name] = np.where(yes + no >= LEAST_TEXTS, np.clip(odds, -4, 4), 0.0).astype(np.float32)
+        out[name] = (np.clip(odds, -4, 4) * (yes + no) / (yes + no + DOUBT)).astype(np.float32)
     return out
 
 
@@ -243,6 +244,8 @@ def train(rows: Sequence[tuple[int, str]], width: int = 32, epochs: int = 8, bat
             m += 0.1 * (v - m)
             s += 0.01 * (v * v - s)
             model.params[k] -= now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+            if k in odds:
+                model.params[k] *= 1 - now * DECAY
     return model
 
 

@@ -138,6 +138,33 @@ def test_toxicity_on_held_out_labels(spark):
     assert means[1] > means[0] + 0.3
 
 
+def _held_out_toxicity(spark):
+    folder = "/root/testdata/sf0.1"
+    labels, docs = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("labels", "documents"))
+    scored = QUERIES["op10_toxicity"](spark, folder)
+    met = scored.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    met = met.select("toxic", "predicted", "score", "lang").collect()
+    recall = {k: np.mean([r["predicted"] for r in met if r["toxic"] and r["lang"] == k]) for k in {r["lang"] for r in met if r["toxic"]}}
+    return met, recall
+
+
+def test_toxicity_finds_held_out_toxic_texts(spark):
+    met, recall = _held_out_toxicity(spark)
+    toxic = sorted(r["score"] for r in met if r["toxic"])
+    clean = sorted(r["score"] for r in met if not r["toxic"])
+    assert np.mean([r["toxic"] == r["predicted"] for r in met]) > 0.92
+    assert np.mean([a > b for a in toxic for b in clean[::5]]) > 0.75
+    assert all(0 <= r["score"] <= 1 for r in met)
+    assert np.mean([r["predicted"] for r in met if r["toxic"]]) > 0.5
+    assert recall["en"] > 0.7
+
+
+@pytest.mark.xfail(reason="open: recall was 0.13 in fr and 0.05 in de")
+def test_toxicity_finds_held_out_toxic_texts_in_each_language(spark):
+    _, recall = _held_out_toxicity(spark)
+    assert recall["fr"] > 0.25 and recall["de"] > 0.1
+
+
 def test_toxicity_of_long_and_empty_texts(spark):
     rows = [(y, f"{'calm ' * 20}{'awful' if y else 'quiet'} {'calm ' * 20}") for y in (0, 1)] * 40
     model = toxicity.train(rows, epochs=40, batch=16)
