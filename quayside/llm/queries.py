@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import (
     decontaminate,
+    merkle_manifest,
     ngram_join,
     ordinal_quality,
     quality_rules,
@@ -20,6 +21,7 @@ from quayside.llm import (
     token_scan,
     toxicity,
 )
+from quayside.llm.exprs import ascii_lower
 from quayside.llm.hashed_text import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -306,3 +308,50 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """Levels of groups, then of the groups' tops, each written out; a level with one node is left as it is."""
+    part = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(part, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    crc = (
+        "list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)), "
+        "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))"
+    )
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"""docs as (select doc_id, source, {leaf("text")} as leaf,
+  case when xor({crc}, 4294967295) % 5 = 0 then {leaf(lower)} else {leaf("text")} end as given from documents)""",
+        """d0 as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p,
+  count(*) over (partition by source) as n, given as v, '' as proof from docs)""",
+        "a0 as (select source as g, p, n, leaf as h from d0)",
+    ]
+    for side, d, a, key in (("source", "d", "a", "source"), ("root", "e", "b", "0")):
+        if side == "root":
+            parts += [
+                f"top as (select g as source, h, row_number() over (order by g nulls first) - 1 as p, count(*) over () as n from a{levels})",
+                "b0 as (select 0 as g, p, n, h from top)",
+                f"""e0 as (select d{levels}.* exclude (p, n), top.h as subroot, top.p as p, top.n as n from d{levels} join top
+  on d{levels}.source is not distinct from top.source)""",
+            ]
+        for k in range(levels):
+            parts += [
+                f"""{a}{k + 1} as (select g, p // 16 as p, (n + 15) // 16 as n,
+  sha256(string_agg(h, '' order by p)) as h from {a}{k} where n > 1 group by g, p // 16, n union all select g, p, n, h from {a}{k} where n <= 1)""",
+                f"{a}r{k} as (select g, p // 16 as p, list(h order by p) as run from {a}{k} group by g, p // 16)",
+                f"""{d}{k + 1} as (select x.* exclude (p, n, v, proof), x.p // 16 as p, (n + 15) // 16 as n,
+  case when n <= 1 then v else sha256(array_to_string(run[:x.p % 16], '') || v || array_to_string(run[x.p % 16 + 2:], '')) end as v,
+  case when n <= 1 then proof else proof || array_to_string(run[:x.p % 16], '') || array_to_string(run[x.p % 16 + 2:], '') end as proof
+  from {d}{k} x join {a}r{k} r on {key} is not distinct from r.g and x.p // 16 = r.p)""",
+            ]
+    return (
+        "with " + ",\n".join(parts) + f"""
+select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, v as folded_root, v = h as verified from e{levels}, b{levels}"""
+    )
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, proof and root; every fifth one tampered with by lower-casing its text."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle_manifest.verify_documents(table(spark, folder, "documents"), tampered, ascii_lower(F.col("text")))

@@ -52,7 +52,7 @@ def test_against_sql(spark, name):
 def test_entry_has_the_queries():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_native_plans(spark):
