@@ -18,6 +18,7 @@ from quayside.llm import (
     secret_scan,
     sentencepiece_topk,
     suffix_dedup,
+    token_alignment,
     token_scan,
     toxicity,
 )
@@ -355,3 +356,12 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf, proof and root; every fifth one tampered with by lower-casing its text."""
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return merkle_manifest.verify_documents(table(spark, folder, "documents"), tampered, ascii_lower(F.col("text")))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlap links and common groups of the tokens of two tokenizers, for every document."""
+    docs = table(spark, folder, "documents")
+    return token_alignment.align_corpus(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links"
+    )
