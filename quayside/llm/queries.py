@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
+    bottom_k,
     decontaminate,
     merkle_manifest,
     ngram_join,
@@ -311,6 +312,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
 
 
+@query("op11_bottom_k")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates by bottom-k sketches of two-word shingles; one row of each component is kept."""
+    return bottom_k.similar_rows(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def _merkle_sql(levels: int = 8) -> str:
     """Levels of groups, then of the groups' tops, each written out; a level with one node is left as it is."""
     part = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
