@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +43,7 @@ from quayside.session import durable
 
 CHUNK_CHARS = 4_000_000
 CHUNK_ROWS = 20_000
-KNOWN_UNITS = 200_000
+KNOWN_UNITS = 300_000
 NEW_CHARS = 500_000  # characters of new units that are encoded and multiplied together
 PRODUCTS = 4_000_000  # partial products that are held at once
 _CUT = re.compile(r" (?<=\S )")
@@ -74,12 +75,17 @@ def gustavson(a: Csr, b: Csr, products: int = PRODUCTS) -> Iterator[tuple[np.nda
     while row < rows:
         end = max(int(np.searchsorted(upto, upto[row] + products, side="right")) - 1, row + 1)
         part = slice(a.indptr[row], a.indptr[end])
-        size, start = lengths[part], b.indptr[a.indices[part]]
-        first = np.cumsum(size) - size
-        at = np.arange(int(size.sum())) + np.repeat(start - first, size)
+        size = lengths[part]
+        at = ranges(b.indptr[a.indices[part]], size)
         of = np.repeat(np.repeat(np.arange(row, end), np.diff(a.indptr[row : end + 1])), size)
-        entries, values = np.unique(of * b.columns + b.indices[at], return_counts=True)
-        yield entries // max(b.columns, 1), entries % max(b.columns, 1), values
+        entries = of * b.columns + b.indices[at]
+        if (entries[1:] < entries[:-1]).any():
+            entries = np.sort(entries)
+        first = np.flatnonzero(np.append(True, entries[1:] != entries[:-1])) if len(entries) else np.zeros(0, np.int64)
+        values = np.diff(np.append(first, len(entries)))
+        entries = entries[first]
+        of = entries // max(b.columns, 1)
+        yield of, entries - of * b.columns, values
         row = end
 
 
@@ -93,7 +99,7 @@ def overlap_links(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np
 def groups_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The group of every token of both sides, and how many there are."""
     ends_a, ends_b = np.cumsum(a), np.cumsum(b)
-    cuts = np.intersect1d(ends_a, ends_b)
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
     return np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), len(cuts)
 
 
@@ -107,6 +113,8 @@ class Tokenizers:
     """A: byte-level BPE from a ``tokenizers`` file. B: a ``sentencepiece`` model, which adds the leading blank."""
 
     def __init__(self, a: str, b: str):
+        # One thread for each task, as Spark counts them; read when the library is first imported.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a)
@@ -121,6 +129,8 @@ class Tokenizers:
         size = self.b.get_piece_size()
         names = [self.b.id_to_piece(i) for i in range(size)]
         self.bytes_b = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace(BLANK, " ").encode() for i, n in enumerate(names)]
+        self.told = [f"{i}{end}" for i in range(len(self.bytes_a)) for end in ",|"]
+        self.told += [f"{i}{end}" for i in range(size) for end in (",", ";", "")]
         self.blank = self.b.piece_to_id(BLANK)
         self.long_a, self.long_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         # What allows cuts: A cuts before blanks by its pattern, no piece of B reaches across one.
@@ -138,9 +148,38 @@ class Tokenizers:
         b = [x if u else [self.blank] for u, x in zip(units, self.b.encode(units, num_threads=1))]
         return a, b
 
-    def spells(self, unit: str, a: list[int], b: list[int]) -> bool:
-        want = (" " + unit).encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want
+    def spell(self, units: list[str], a: list[list[int]], b: list[list[int]]) -> list[bool]:
+        """Whether the tokens of each unit spell a blank and the unit."""
+        want = [(" " + unit).encode() for unit in units]
+        lengths = list(map(len, want))
+        joined, fine = b"".join(want), True
+        for side, names, sizes in ((a, self.bytes_a, self.long_a), (b, self.bytes_b, self.long_b)):
+            # All at once: the same bytes, cut at the same places.
+            ids = np.fromiter(itertools.chain.from_iterable(side), np.int64)
+            ends = np.append(0, np.cumsum(sizes[ids]))[np.cumsum([0, *map(len, side)])]
+            fine = fine and np.array_equal(np.diff(ends), lengths) and b"".join(map(names.__getitem__, ids.tolist())) == joined
+        if fine:
+            return [True] * len(units)
+        return [
+            b"".join(map(self.bytes_a.__getitem__, x)) == w and b"".join(map(self.bytes_b.__getitem__, y)) == w
+            for x, y, w in zip(a, b, want)
+        ]
+
+    def group_texts(self, ids_a, in_a, ids_b, in_b, groups: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` for every unit; ``groups`` and ``sizes`` say how many groups and tokens it has.
+
+        Each token's text carries what follows it, so a unit's text is its tokens' texts one after the other.
+        """
+        more_a = np.append(in_a[1:] == in_a[:-1], False)[: len(in_a)]
+        more_b = np.append(in_b[1:] == in_b[:-1], False)[: len(in_b)]
+        last = np.zeros(int(groups.sum()), bool)
+        last[(np.cumsum(groups) - 1)[groups > 0]] = True
+        ends = np.where(more_b, 0, np.where(last[in_b], 2, 1)) if len(in_b) else np.zeros(0, np.int64)
+        texts = np.concatenate((ids_a * 2 + ~more_a, 2 * len(self.bytes_a) + ids_b * 3 + ends))
+        order = np.argsort(np.concatenate((2 * in_a, 2 * in_b + 1)), kind="stable")
+        pieces = list(map(self.told.__getitem__, texts[order].tolist()))
+        cuts = np.cumsum(np.append(0, sizes)).tolist()
+        return ["".join(pieces[x:y]) for x, y in zip(cuts, cuts[1:])]
 
 
 def _byte_points() -> dict[str, int]:
@@ -160,7 +199,30 @@ def load(a: str, b: str) -> Tokenizers:
     return _LOADED[a, b]
 
 
-_NO_PAIRS = np.zeros(0, np.int64)
+class _Rows:
+    """An array that grows at its end."""
+
+    def __init__(self, width: int | None, dtype):
+        self.data = np.zeros((1024,) if width is None else (1024, width), dtype)
+        self.size = 0
+
+    def add(self, rows: np.ndarray) -> None:
+        need = self.size + len(rows)
+        if need > len(self.data):
+            grown = np.zeros((max(need, 2 * len(self.data)), *self.data.shape[1:]), self.data.dtype)
+            grown[: self.size] = self.data[: self.size]
+            self.data = grown
+        self.data[self.size : need] = rows
+        self.size = need
+
+    def all(self) -> np.ndarray:
+        return self.data[: self.size]
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start[i], start[i] + 1, …`` for ``size[i]`` places, one after the other."""
+    first = np.cumsum(size) - size
+    return np.arange(int(size.sum())) + np.repeat(start - first, size)
 
 
 class Units:
@@ -168,11 +230,16 @@ class Units:
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
+        self._empty()
+
+    def _empty(self) -> None:
         self.number: dict[str, int] = {}
-        self.counts: list[tuple[int, int, int, int, int]] = []  # A tokens, B tokens, groups, links, links by group
         self.texts: list[str] = []
-        self.pairs: list[np.ndarray] = []
         self.bad: set[int] = set()  # units whose tokens do not spell them
+        self.counts = _Rows(5, np.int32)  # A tokens, B tokens, groups, links, links by group
+        self.uses = _Rows(None, np.int64)
+        self.links = _Rows(None, np.int64)  # id pairs of all units, one unit after the other
+        self.begin = np.zeros(1, np.int64)
 
     def learn(self, units: dict[str, None]) -> None:
         """Encode and multiply those of ``units`` that are new."""
@@ -187,36 +254,31 @@ class Units:
     def _learn(self, units: list[str]) -> None:
         t = self.tokenizers
         a, b = t.encode(units)
-        good = [t.spells(u, x, y) for u, x, y in zip(units, a, b)]
-        a, b = ([x for x, g in zip(side, good) if g] for side in (a, b))
-        ids_a, ids_b = (np.array([i for x in side for i in x], np.int64) for side in (a, b))
-        of_a, of_b = (np.repeat(np.arange(len(side)), list(map(len, side))) for side in (a, b))
+        good = t.spell(units, a, b)
+        if not all(good):
+            a, b = ([x if g else [] for x, g in zip(side, good)] for side in (a, b))
+            self.bad.update(len(self.texts) + i for i, g in enumerate(good) if not g)
+        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(units)) for side in (a, b))
+        ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, n_a), (b, n_b)))
+        of_a = np.repeat(np.arange(len(units)), n_a)
         long_a, long_b = t.long_a[ids_a], t.long_b[ids_b]
-        rows, columns = [_NO_PAIRS], [_NO_PAIRS]
+        codes, links = [np.zeros(0, np.int64)], np.zeros(len(units), np.int64)
         for row, column, _ in overlap_links(long_a, long_b):
-            rows.append(row), columns.append(column)
-        row, column = np.concatenate(rows), np.concatenate(columns)
-        codes = (ids_a[row] << 32) | ids_b[column]
-        links = np.bincount(of_a[row], minlength=len(a))
+            codes.append((ids_a[row] << 32) | ids_b[column])
+            links += np.bincount(of_a[row], minlength=len(units))
         in_a, in_b, total = groups_of(long_a, long_b)
-        shared = np.zeros(len(a), np.int64)
+        shared = np.zeros(len(units), np.int64)
         for row, _, _ in group_links(in_a, in_b, total):
-            shared += np.bincount(of_a[row], minlength=len(a))
-        told = _group_texts(ids_a, in_a, ids_b, in_b, total)
-        of_group = of_a[np.searchsorted(in_a, np.arange(total))]
-        groups = np.bincount(of_group, minlength=len(a))
-        ends, last = np.cumsum(links), np.cumsum(groups)
-        k = 0
-        for unit, fine in zip(units, good):
-            self.number[unit] = len(self.texts)
-            if not fine:
-                self.bad.add(len(self.texts))
-                self.texts.append(""), self.pairs.append(_NO_PAIRS), self.counts.append((0, 0, 0, 0, 0))
-                continue
-            self.texts.append(";".join(told[last[k] - groups[k] : last[k]]))
-            self.pairs.append(codes[ends[k] - links[k] : ends[k]])
-            self.counts.append((len(a[k]), len(b[k]), int(groups[k]), int(links[k]), int(shared[k])))
-            k += 1
+            shared += np.bincount(of_a[row], minlength=len(units))
+        groups = np.bincount(of_a[np.searchsorted(in_a, np.arange(total))], minlength=len(units))
+        first = len(self.texts)
+        self.number.update(zip(units, range(first, first + len(units))))
+        self.texts += t.group_texts(ids_a, in_a, ids_b, in_b, groups, n_a + n_b)
+        self.counts.add(np.stack((n_a, n_b, groups, links, shared), axis=1))
+        self.uses.add(np.zeros(len(units), np.int64))
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(links)))
+        for part in codes:
+            self.links.add(part)
 
     def of_texts(self, texts: list[str | None]) -> list[list[int]]:
         """Numbers of each text's units; none where its tokens do not spell it."""
@@ -224,20 +286,28 @@ class Units:
         self.learn(dict.fromkeys(itertools.chain.from_iterable(split)))
         out = [list(map(self.number.__getitem__, units)) for units in split]
         # Where a unit does not, whether the whole still spells the text is settled on the whole.
-        open_ = [i for i, numbers in enumerate(out) if not self.bad.isdisjoint(numbers)]
+        open_ = [i for i, numbers in enumerate(out) if not self.bad.isdisjoint(numbers)] if self.bad else []
         self.learn({texts[i]: None for i in open_})
         for i in open_:
             number = self.number[texts[i]]
             out[i] = [] if number in self.bad else [number]
         return out
 
-
-def _group_texts(ids_a: np.ndarray, in_a: np.ndarray, ids_b: np.ndarray, in_b: np.ndarray, groups: int) -> list[str]:
-    sides = []
-    for ids, of in ((ids_a, in_a), (ids_b, in_b)):
-        names, cut = list(map(str, ids.tolist())), np.searchsorted(of, np.arange(groups + 1)).tolist()
-        sides.append([",".join(names[x:y]) for x, y in zip(cut, cut[1:])])
-    return [f"{x}|{y}" for x, y in zip(*sides)]
+    def forget(self) -> None:
+        """Keep the more used half at most of what is known, and of that only what came twice. Numbers change."""
+        uses, names = self.uses.all(), list(self.number)
+        order = np.argsort(-uses, kind="stable")[: KNOWN_UNITS // 2]
+        keep = np.sort(order[uses[order] > 1])
+        texts, counts, links, begin, bad = self.texts, self.counts.all(), self.links.all(), self.begin, self.bad
+        self._empty()
+        self.number = {names[n]: i for i, n in enumerate(keep.tolist())}
+        self.texts = [texts[n] for n in keep.tolist()]
+        self.bad = {i for i, n in enumerate(keep.tolist()) if n in bad}
+        self.counts.add(counts[keep])
+        self.uses.add(uses[keep] // 2)
+        size = np.diff(begin)[keep]
+        self.links.add(links[ranges(begin[keep], size)])
+        self.begin = np.append(0, np.cumsum(size))
 
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_group_links")
@@ -264,14 +334,15 @@ def _chunk(number: int, known: Units, keys: list, docs: list[list[int]], key_typ
     starts = np.cumsum([0, *map(len, docs)])
     flat = np.fromiter((n for doc in docs for n in doc), np.int64, int(starts[-1]))
     used, local = np.unique(flat, return_inverse=True)
-    counts = np.array([known.counts[n] for n in used], np.int64).reshape(-1, len(COUNTS))
+    counts = known.counts.all()[used].astype(np.int64)
     sums = np.concatenate((np.zeros((1, len(COUNTS)), np.int64), np.cumsum(counts[local], axis=0)))
     per_doc = sums[starts[1:]] - sums[starts[:-1]]
     digests = [hashlib.sha256(";".join([known.texts[n] for n in doc]).encode()).hexdigest() if doc else "" for doc in docs]
-    links = [known.pairs[n] for n in used]
-    codes, place = np.unique(np.concatenate([*links, _NO_PAIRS]), return_inverse=True)
-    unit = np.repeat(np.arange(len(used)), list(map(len, links)))
+    links = np.diff(known.begin)[used]
+    codes, place = np.unique(known.links.all()[ranges(known.begin[used], links)], return_inverse=True)
+    unit = np.repeat(np.arange(len(used)), links)
     uses = np.bincount(local, minlength=len(used)) if len(used) else np.zeros(0, np.int64)
+    known.uses.all()[used] += uses
     times = np.bincount(place, weights=uses[unit], minlength=len(codes)).astype(np.int64)
     pairs = pa.StructArray.from_arrays(
         [pa.array((codes >> 32).astype(np.int32)), pa.array((codes & 0xFFFFFFFF).astype(np.int32)), pa.array(times)], ["a", "b", "times"]
@@ -281,7 +352,7 @@ def _chunk(number: int, known: Units, keys: list, docs: list[list[int]], key_typ
         pa.array([keys], pa.list_(key_type)),
         *(pa.array([per_doc[:, i]], pa.list_(pa.int64())) for i in range(len(COUNTS))),
         pa.array([digests], pa.list_(pa.string())),
-        *(pa.array([_pack(x)], pa.binary()) for x in (local, starts, np.cumsum([0, *map(len, links)]), place)),
+        *(pa.array([_pack(x)], pa.binary()) for x in (local, starts, np.append(0, np.cumsum(links)), place)),
         pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), pairs),
     ]
     names = ["chunk", "keys", *COUNTS, "digests", "units", "starts", "pair_starts", "pair_units", "pairs"]
@@ -308,7 +379,7 @@ def _chunks(a: str, b: str, key_type: pa.DataType):
                     if keys:
                         yield _chunk(number, known, keys, docs, key_type)
                         number, keys, docs, chars = number + 1, [], [], 0
-                    known = Units(known.tokenizers)
+                    known.forget()
         if keys:
             yield _chunk(number, known, keys, docs, key_type)
 
@@ -374,7 +445,7 @@ def _aligner(a: str, b: str):
         units = tokenizers.units(text) if text else []
         sides = tokenizers.encode(units) if units else ([], [])
         ids_a, ids_b = ([i for x in side for i in x] for side in sides)
-        if not units or not tokenizers.spells(text, ids_a, ids_b):
+        if not units or not tokenizers.spell([text], [ids_a], [ids_b])[0]:
             return [], [], [], []
         long_a, long_b = tokenizers.long_a[ids_a], tokenizers.long_b[ids_b]
         links = [none.reshape(0, 3), *(np.stack(x, axis=1) for x in overlap_links(long_a, long_b))]
