@@ -16,7 +16,7 @@ from quayside.operators.audit import (
     union_audit,
 )
 from quayside.session import run_folder
-from quayside.sinks.audit_log import append_audit, read_audit
+from quayside.sinks.audit_log import AuditLog, append_audit, read_audit
 
 NOW = text_of(f"timestamp '{RUN_TIME}'")
 START, END = text_of("start_date"), text_of("end_date")
@@ -113,46 +113,62 @@ def _audit_project(spark, t):
     return audit_record(t.sql(TASK_RUNS), "files_to_files", RUN_TIME).select("audit_id", "job_status", "destination")
 
 
-@query("sink_audit", SQL["files_to_files"])
+ALL_PROFILES = (*PROFILES, "dq")
+
+
+def all_records(t):
+    """Records of every task run under every profile, with the profile and the run that tell them apart."""
+    runs = t.sql(TASK_RUNS)
+    return union_audit(
+        *[audit_record(runs, name, RUN_TIME, keep=["run_id"]).withColumn("profile", F.lit(name)) for name in ALL_PROFILES]
+    )
+
+
+@query("sink_audit", " union all by name ".join(f"select * from ({SQL.get(name, QUALITY_SQL)}) a" for name in ALL_PROFILES))
 def _sink_audit(spark, t):
     path = run_folder(spark, "audit")
-    records = audit_record(t.sql(TASK_RUNS), "files_to_files", RUN_TIME)
+    records = all_records(t)
     for _ in range(2):  # the second call adds nothing
-        append_audit(records, path)
+        append_audit(records, path, ["profile", "run_id"], keep_identity=False)
     return read_audit(spark, path)
 
 
+@query(
+    "audit_compacted",
+    f"select count(*) as records, count(distinct audit_id) as ids, count(distinct ingestion_date) as folders from ({SQL['sftp']}) a",
+)
+def _audit_compacted(spark, t):
+    """Three appends of one day by three writers, the last of them a repeat, swapped for one folder."""
+    log = AuditLog(spark, run_folder(spark, "audit"))
+    records = audit_record(t.sql(TASK_RUNS), "sftp", RUN_TIME, keep=["run_id"])
+    for part in ("run_id % 2 = 0", "run_id % 2 = 1", "true"):
+        log.append(records.where(part), ["run_id"], keep_identity=False)
+    for day in {name.split("/")[0].partition("=")[2] for name in log.files()}:
+        log.compact(day)
+    return log.read().agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("audit_id").alias("ids"),
+        F.lit(len(log.files())).cast("bigint").alias("folders"),
+    )
+
+
 FILES = SQL["files_to_files"]
 
 
 @query(
     "audit_stored_counts",
-    f"""select audit_id, job_status, nullif(source_number_of_records, -1) as source_number_of_records,
-        nullif(destination_number_of_records, -1) as destination_number_of_records,
+    f"""select * replace (nullif(source_number_of_records, -1) as source_number_of_records,
+          nullif(destination_number_of_records, -1) as destination_number_of_records),
         case when source_number_of_records = -1 then 'unknown' else 'ok' end as count_status from ({FILES}) a""",
 )
 def _stored(spark, t):
-    records = audit_record(t.sql(TASK_RUNS), "files_to_files", RUN_TIME)
-    return stored_counts(records).select(
-        "audit_id", "job_status", "source_number_of_records", "destination_number_of_records", "count_status"
-    )
+    return stored_counts(audit_record(t.sql(TASK_RUNS), "files_to_files", RUN_TIME))
 
 
-UNION_FIELDS = "audit_id, asset_id, job_type, destination, job_status"
-
-
-@query(
-    "union_audit",
-    " union all ".join(
-        f"select audit_id, {'asset_id' if sql.count('asset_id, group_name') else 'null as asset_id'}, job_type, "
-        f"destination, job_status from ({sql}) a"
-        for sql in SQL.values()
-    ),
-)
+@query("union_audit", " union all by name ".join(f"select * from ({sql}) a" for sql in SQL.values()))
 def _union_audit(spark, t):
     runs = t.sql(TASK_RUNS)
-    records = union_audit(*[audit_record(runs, name, RUN_TIME) for name in PROFILES])
-    return records.select(*UNION_FIELDS.split(", "))
+    return union_audit(*[audit_record(runs, name, RUN_TIME) for name in PROFILES])
 
 
 @query(
@@ -183,13 +199,12 @@ def _latest_audit(spark, t):
 @query(
     "latest_audit_record",
     f"""
-    select run_id, audit_id, asset_id, job_status, no_of_retries from (
-      select r.run_id, a.* from (select *, row_number() over () as at from ({FILES}) x) a
-      join (select run_id, row_number() over () as at from ({TASK_RUNS}) y) r on a.at = r.at) z
+    select * from (
+      select r.run_id, a.* exclude (place) from (select *, row_number() over () as place from ({FILES}) x) a
+      join (select run_id, row_number() over () as place from ({TASK_RUNS}) y) r on a.place = r.place) z
     qualify row_number() over (partition by audit_id order by run_id desc) = 1
     """,
 )
 def _latest_record(spark, t):
     records = audit_record(t.sql(TASK_RUNS), "files_to_files", RUN_TIME, keep=["run_id"])
-    newest = latest_audit(records, ["audit_id"], ["run_id"])
-    return newest.select("run_id", "audit_id", "asset_id", "job_status", F.col("no_of_retries"))
+    return latest_audit(records, ["audit_id"], ["run_id"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,6 +49,93 @@ def csv_line_counts(spark: SparkSession, path: str) -> DataFrame:
     return lines.groupBy("file_path").agg((F.count(F.lit(1)) - 1).alias("records"))
 
 
+_CELL = 62  # lines whose bits fit a positive long
+
+
+def _with_parity(cells: DataFrame, bits: str, out: str) -> DataFrame:
+    """Bit ``i`` of ``out`` says whether the bits up to ``i`` hold an odd number of ones.
+
+    Each step is a projection of its own: as one expression it would repeat itself 64 times.
+    """
+    cells = cells.withColumn(out, F.col(bits))
+    for step in (1, 2, 4, 8, 16, 32):
+        cells = cells.withColumn(out, F.col(out).bitwiseXOR(F.shiftleft(out, step)))
+    return cells
+
+
+def csv_quoted_counts(spark: SparkSession, path: str, glob: str = "*.csv", escape: str = "\\", header: bool = True) -> DataFrame:
+    """``file_path, records, line_count`` of each CSV file, with quoted line ends inside records, over split files.
+
+    A record ends at a line end behind which the number of quotes is even. Each task packs two bits
+    of a line, whether its quotes are odd and whether it has text, into one number for 62 lines, so less
+    than a byte a line is shuffled. Prefix parities are then taken inside those numbers, over the numbers
+    of a file block, and over the blocks of a file: no file is read by one task as ``multiLine`` needs it,
+    and no window sees more than a block's numbers or a file's blocks.
+
+    Quotes are taken to stand only around values; ``escape`` in front of a character takes its meaning,
+    or, if it is the quote itself, quotes are doubled inside values. Empty lines outside quotes are no records, nor
+    is each file's header.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
+        .select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    )
+    bare = F.col("value") if escape == '"' else F.regexp_replace("value", f"\\{escape}.", "")
+    odd = F.length(bare).cast("long") - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    row = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    bit = F.lit(1).cast("long")
+    place = F.pmod(row, F.lit(_CELL)).cast("int")
+    packed = lines.select(
+        "file_path",
+        "block",
+        F.floor(row / _CELL).alias("cell"),
+        F.call_function("shiftleft", odd.bitwiseAND(F.lit(1).cast("long")), place).alias("odd"),
+        F.when(F.col("value").rlike("[^\\x00-\\x20]"), F.call_function("shiftleft", bit, place)).otherwise(F.lit(0)).alias("text"),
+        F.call_function("shiftleft", bit, place).alias("there"),
+    )
+    cells = packed.groupBy("file_path", "block", "cell").agg(
+        F.sum("odd").alias("odd"), F.sum("text").alias("text"), F.sum("there").alias("there")
+    )
+    cells, upto = _with_parity(cells, "odd", "upto"), F.col("upto")
+    both = lambda bits, other: F.bit_count(bits.bitwiseAND(other)).cast("long")
+    told = cells.select(
+        "file_path",
+        "block",
+        "cell",
+        F.bit_count("there").cast("long").alias("lines"),
+        F.bit_count("odd").bitwiseAND(F.lit(1)).alias("flip"),
+        # Records that end here if the cell begins outside quotes, and if it begins inside.
+        both(F.bitwise_not(upto), F.col("text")).alias("outside"),
+        both(upto, F.col("text")).alias("inside"),
+    )
+    before = lambda *keys: W.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(W.unboundedPreceding, -1)
+    parity = lambda window: F.pmod(F.coalesce(F.sum("flip").over(window), F.lit(0)), F.lit(2))
+    in_block = told.withColumn("start", parity(before("file_path", "block", "cell")))
+    open_ = F.col("start") == 1
+    blocks = in_block.groupBy("file_path", "block").agg(
+        F.sum("lines").alias("lines"),
+        F.pmod(F.sum("flip"), F.lit(2)).alias("flip"),
+        F.sum(F.when(open_, F.col("inside")).otherwise(F.col("outside"))).alias("outside"),
+        F.sum(F.when(open_, F.col("outside")).otherwise(F.col("inside"))).alias("inside"),
+    )
+    ended = blocks.withColumn("start", parity(before("file_path", "block")))
+    return ended.groupBy("file_path").agg(
+        F.sum(F.when(open_, F.col("inside")).otherwise(F.col("outside"))).alias("records"),
+        F.sum("lines").alias("line_count"),
+        F.pmod(F.sum("flip"), F.lit(2)).alias("unclosed"),
+    ).select(
+        "file_path",
+        # A quote that is never closed makes one record of the rest of its file.
+        F.greatest(F.col("records") + F.col("unclosed") - F.lit(int(header)), F.lit(0)).cast("bigint").alias("records"),
+        "line_count",
+    )
+
+
+def count_csv_quoted(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Records of all CSV files under a folder, however their quoted line ends fall: one row, ``records``."""
+    return total(csv_quoted_counts(spark, path, **options))
+
+
 def parquet_row_counts(spark: SparkSession, path: str) -> DataFrame:
     """Rows of each Parquet file under a folder. No column is read, so only footers are."""
     files = (

@@ -1,47 +1,141 @@
-"""The append-only audit table."""
+"""The append-only audit table: one stored row for each attempt that was recorded.
+
+Records lie in folders by date and, in those, by batch. A commit names the folders of one batch, so an
+append looks only at folders of its own dates, and readers see whole batches only. Compaction swaps all
+folders of a date for one by a commit that names both; those that it lets go stay for readers that hold
+an older list until ``vacuum`` removes them.
+
+What tells records apart is given by whoever records: a run or attempt id. Content cannot be the
+identity, since equal records of two runs are two records.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: What tells records apart; those of some profiles lack a field. Counts are part of it, so a run that
-#: is repeated over a changed source adds a record, and one that is repeated as it was adds none.
-RECORD_KEY = (
-    "audit_id",
-    "job_type",
-    "job_status",
-    "no_of_retries",
-    "job_start_time",
-    "source_number_of_records",
-    "destination_number_of_records",
-)
+from quayside.session import durable
+from quayside.sinks.commits import CommitLog
+
+RECORD_ID = "record_id"
+DAY = "record_date"
+BATCH = "record_batch"
+NO_DAY = "none"
+LIST_EVERY = 50  # every so many commits one holds the whole list, so that readers open no more than that
+
+
+def _apply(live: dict[str, str], body: dict) -> dict[str, str]:
+    for name in body.get("remove", ()):
+        live.pop(name, None)
+    live.update(body["add"])
+    return live
+
+
+class AuditLog:
+    """The audit table under one folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.commits = CommitLog(spark, f"{self.path}/_commits")
+
+    def _live(self, newest: int) -> dict[str, str]:
+        """Folders of the records that are live at a commit, with their days."""
+        start = newest - newest % LIST_EVERY
+        live = dict(self.commits.body(start)["all"]) if start else {}
+        for number in range(start + 1, newest + 1):
+            _apply(live, self.commits.body(number))
+        return live
+
+    def files(self, days: Sequence[str] | None = None, after: int = 0) -> list[str]:
+        """Live folders, of some days only if they are named, or only those added after a commit."""
+        newest = self.commits.newest()
+        added = {name for n in range(after + 1, newest + 1) for name in self.commits.body(n)["add"]} if after else None
+        live = self._live(newest).items()
+        return sorted(name for name, day in live if (days is None or day in days) and (added is None or name in added))
+
+    def _commit(self, number: int, body: dict) -> bool:
+        if number % LIST_EVERY == 0:
+            body = body | {"all": _apply(self._live(number - 1), body)}
+        return self.commits.commit(number, body)
+
+    def _read(self, files: Sequence[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(*(f"{self.path}/{name}" for name in files))
+
+    def read(self) -> DataFrame:
+        """All records; those of different profiles may have different fields."""
+        files = self.files()
+        if not files:
+            raise LookupError(f"no audit records under {self.path}")
+        return self._read(files).drop(RECORD_ID)
+
+    def _write(self, records: DataFrame, days: Sequence[str]) -> dict[str, str]:
+        """One folder for each day of a new batch; gives the folders with their days."""
+        batch = str(uuid.uuid4())
+        placed = records.withColumns({DAY: F.coalesce(F.col(DAY), F.lit(NO_DAY)), BATCH: F.lit(batch)})
+        placed.write.mode("append").partitionBy(DAY, BATCH).parquet(self.path)
+        return {f"{DAY}={day}/{BATCH}={batch}": day for day in days}
+
+    def append(self, records: DataFrame, identity: Sequence[str] | None = None, keep_identity: bool = True) -> int:
+        """Store the records whose identity is new, each once, and say how many they were.
+
+        ``identity`` names the columns that tell records apart; with ``keep_identity=False`` they are no
+        fields of the record and are not stored. Without ``identity`` records are told apart by all
+        their fields: none that differs from the others is lost, and equal ones are stored once.
+        """
+        given = list(identity or records.columns)
+        missing = [name for name in given if name not in records.columns]
+        if missing:
+            raise ValueError(f"records have no column {', '.join(missing)}")
+        digest = F.sha2(F.to_json(F.struct(*given), {"ignoreNullFields": "false"}), 256)
+        day = F.col("ingestion_date").cast("string") if "ingestion_date" in records.columns else F.lit(None).cast("string")
+        fields = [name for name in records.columns if keep_identity or name not in given]
+        named = records.select(digest.alias(RECORD_ID), day.alias(DAY), *fields)
+        # Fixed before it is looked at several times: input that is read twice could differ.
+        fresh = durable(named.dropDuplicates([RECORD_ID]), "audit")
+        seen = 0
+        while True:
+            newest = self.commits.newest()
+            # The days of one call are as many as the dates of its runs.
+            days = [r[0] or NO_DAY for r in fresh.select(DAY).distinct().collect()]
+            known = self.files(days, after=seen) if newest > seen else []
+            if known:
+                stored = self._read(known).select(RECORD_ID)
+                fresh = durable(fresh.join(stored, RECORD_ID, "left_anti"), "audit")
+                days = [r[0] or NO_DAY for r in fresh.select(DAY).distinct().collect()]
+            if not days:
+                return 0
+            count = fresh.count()
+            added = self._write(fresh, days)
+            if self._commit(newest + 1, {"add": added, "records": count}):
+                return count
+            seen = newest  # another writer was first: look at what it stored, then try again
+
+    def compact(self, day: str, files: int = 1) -> bool:
+        """Swap the files of a day for as few as asked; False where another commit came in between."""
+        newest = self.commits.newest()
+        old = self.files([day])
+        if len(old) < 2:
+            return True
+        rows = self._read(old).withColumn(DAY, F.lit(day)).coalesce(files)
+        added = self._write(rows, [day])
+        return self._commit(newest + 1, {"add": added, "remove": old})
+
+    def vacuum(self) -> list[str]:
+        """Remove folders of days that compaction has let go; call it when no reader holds an older list."""
+        gone = sorted({name for body in self.commits.bodies() for name in body.get("remove", ())})
+        return [name for name in gone if self.commits.delete(f"{self.path}/{name}")]
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The audit table; records of different profiles may have different fields."""
-    return spark.read.option("mergeSchema", True).parquet(path)
-
-
-def append_audit(records: DataFrame, path: str, key: Sequence[str] = RECORD_KEY) -> str:
-    """Append the records whose key is not in the table, each once, so that a repeated call adds nothing.
-
-    Of the stored records only those of the same dates are read, where both sides have a date.
-    """
-    key = [k for k in key if k in records.columns]
-    records.limit(0).write.mode("ignore").parquet(path)  # makes the table when there is none
-    dated = "ingestion_date" in records.columns
-    wanted = [*key, *(["ingestion_date"] if dated and "ingestion_date" not in key else [])]
-    stored = records.sparkSession.read.schema(records.select(*wanted).schema).parquet(path)
-    if dated:
-        # The dates of one call are as many as it has runs.
-        days = [r[0] for r in records.select("ingestion_date").distinct().collect()]
-        named = [d for d in days if d is not None]
-        stored = stored.where(F.col("ingestion_date").isin(named) | F.col("ingestion_date").isNull())
-    records = records.dropDuplicates(key)
-    known = stored.select(*[F.col(k).alias(f"known_{k}") for k in key])
-    same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in key]
-    records.join(known, same, "left_anti").write.mode("append").parquet(path)
+    return AuditLog(spark, path).read()
+
+
+def append_audit(records: DataFrame, path: str, identity: Sequence[str] | None = None, keep_identity: bool = True) -> str:
+    """Append what is new (see ``AuditLog.append``), so that a repeated call adds nothing."""
+    AuditLog(records.sparkSession, path).append(records, identity, keep_identity)
     return path

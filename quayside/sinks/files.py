@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 FORMATS = ("csv", "parquet", "json", "orc")
 
@@ -16,12 +17,20 @@ TEXT_OPTIONS = {
 }
 
 
-# Values are written as they are; the writer's default cuts blanks off their ends.
-CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Values are written as they are; the writer's default cuts blanks off their ends. Records end at the
+# newline alone on both sides, so that a carriage return stays part of its value.
+CSV_OPTIONS = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "lineSep": "\n",
+}
 
 # A missing value is written as nothing and an empty text as two quotes. Read back with a null mark
-# that no value has, both come back as what they were.
-ZONE_NULL = {"nullValue": "\u0001"}
+# that no value has, both come back as what they were. A value that equals the mark is refused when
+# it is written, since it would come back as missing.
+NULL_MARK = "\u0001null 6fd0c1a4\u0001"
+ZONE_NULL = {"nullValue": NULL_MARK}
 
 
 def write_options(fmt: str) -> dict[str, str]:
@@ -33,6 +42,18 @@ def read_options(fmt: str) -> dict[str, str]:
     return {**write_options(fmt), **(ZONE_NULL if fmt == "csv" else {})}
 
 
+def without_mark(df: DataFrame) -> DataFrame:
+    """``df``, and an error for a text that equals the null mark."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+
+    def checked(name: str):
+        value = F.col(f"`{name}`")
+        message = F.lit(f"column {name} holds the null mark of CSV zones")
+        return F.when(value == NULL_MARK, F.raise_error(message)).otherwise(value).alias(name)
+
+    return df.withColumns({name: checked(name) for name in texts}) if texts else df
+
+
 def sink_csv(df: DataFrame, path: str) -> str:
     return sink_format(df, path, "csv")
 
@@ -41,6 +62,7 @@ def sink_format(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     """Write in one of the served formats; CSV gets a header line. ``options`` go to the writer."""
     if fmt not in FORMATS:
         raise ValueError(f"output format {fmt!r} is not one of {', '.join(FORMATS)}")
+    df = without_mark(df) if fmt == "csv" else df
     df.write.format(fmt).mode(mode).options(**{**write_options(fmt), **options}).save(path)
     return path
 
@@ -66,6 +88,7 @@ def sink_partitioned(
     if files_per_value:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
         df = df.repartition(*columns, salt)
+    df = without_mark(df) if fmt == "csv" else df
     (
         df.write.format(fmt)
         .mode("overwrite")
