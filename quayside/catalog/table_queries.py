@@ -17,6 +17,7 @@ from quayside.operators.profile import (
     profile_table,
     profile_topk,
 )
+from quayside.operators.ranks import rank_values
 from quayside.operators.surrogates import SurrogateMap
 from quayside.operators.tokenize import apply_template
 from quayside.session import run_folder
@@ -212,24 +213,46 @@ def _profile_topk(spark, t):
     return profile_topk(t.customer, TOPK, 5)
 
 
-MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
 PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
+NUMERIC = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 @query(
     "profile_quantiles",
     " union all ".join(
         f"select '{c}' as column_name, {p}::double as prob, round(quantile_cont({c}::double, {p}), 4) as quantile "
         "from {lineitem}"
-        for c in MEASURES
+        for c in NUMERIC
         for p in PROBS
     ),
 )
 def _profile_quantiles(spark, t):
-    found = profile_quantiles(t.lineitem, MEASURES, PROBS)
+    found = profile_quantiles(t.lineitem, probs=PROBS)
     return found.withColumn("quantile", F.round("quantile", 4))
 
 
+#: Numbers past 2^53 that lie close together, numbers over many magnitudes, and a decimal.
+WIDE = """select cast(9007199254740993 + l_orderkey * 4 + l_linenumber as bigint) as big,
+  cast((l_partkey - 100) * 1000000000000000 as bigint) as spread,
+  cast(l_extendedprice as decimal(20,2)) * cast(1000000000000 as decimal(20,2)) as amount from {lineitem}"""
+
+
+@query(
+    "profile_ranks",
+    " union all ".join(
+        f"""select '{c}' as column_name, {p}::double as prob, cast(min(v) filter (r = cast(floor({p} * (n - 1)) as bigint)) as varchar) as below,
+          cast(min(v) filter (r = cast(ceil({p} * (n - 1)) as bigint)) as varchar) as above
+        from (select {c} as v, row_number() over (order by {c}) - 1 as r, count(*) over () as n from ({WIDE}) w) x"""
+        for c in ("big", "spread", "amount")
+        for p in PROBS
+    ),
+)
+def _profile_ranks(spark, t):
+    return rank_values(t.sql(WIDE), ["big", "spread", "amount"], PROBS)
+
+
 @query("profile_quantiles_approx")
 def _profile_quantiles_approx(spark, t):
     numeric = [f.name for f in t.lineitem.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -10,8 +10,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quayside.operators.ranks import quantiles
 from quayside.session import durable
 
+__all__ = [
+    "attach_by_value",
+    "compact",
+    "count_values",
+    "in_order",
+    "number_values",
+    "quantiles",
+    "value_key",
+    "value_stats",
+    "value_table",
+]
+
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number below.
 _DIGEST_FROM = 64  # characters; a marked digest has 65
 
@@ -81,56 +94,6 @@ def number_values(distinct: DataFrame, column: str, out: str) -> DataFrame:
     return numbered.withColumn(out, F.col("start") + F.col("place") + 1).drop("span", "place", "start")
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: ``column_name, prob, quantile``.
-
-    Values are counted, put in order over range partitions, and only the partitions that hold a
-    wanted rank are looked into.
-    """
-    # A column goes by its place in the list, which is smaller to sort than its name.
-    counted = [
-        count_values(df, F.col(c).cast("double")).withColumn("column_at", F.lit(at)) for at, c in enumerate(columns)
-    ]
-    ordered = in_order(reduce(DataFrame.unionByName, counted), "column_at", "value")
-    sizes = ordered.groupBy("column_at", "span").agg(F.sum("n").alias("size"))
-    spans = W.partitionBy("column_at")
-    before = spans.orderBy("span").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        "column_at",
-        "span",
-        "size",
-        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"),
-        F.sum("size").over(spans).alias("total"),
-    )
-    position = F.col("prob") * (F.col("total") - 1)
-    wanted = (
-        starts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("low", F.floor(position))
-        .withColumn("high", F.ceil(position))
-        .withColumn("part", position - F.floor(position))
-        .where((F.col("start") <= F.col("high")) & (F.col("start") + F.col("size") > F.col("low")))
-    )
-    # At most two partitions for each column and quantile.
-    inside = W.partitionBy("column_at", "span").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
-    needed = wanted.select("column_at", "span").distinct()
-    near = ordered.join(F.broadcast(needed), ["column_at", "span"], "left_semi").withColumn(
-        "ahead", F.coalesce(F.sum("n").over(inside), F.lit(0))
-    )
-    first = F.col("start") + F.col("ahead")
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((first <= F.col(rank)) & (F.col(rank) < first + F.col("n")), F.col("value")))
-
-    ends = (
-        near.join(F.broadcast(wanted), ["column_at", "span"])
-        .groupBy("column_at", "prob", "part")
-        .agg(at("low").alias("below"), at("high").alias("above"))
-    )
-    value = F.col("below") + (F.col("above") - F.col("below")) * F.col("part")
-    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("column_at"))
-    return ends.select(name.alias("column_name"), "prob", value.alias("quantile"))
-
-
 def value_table(values: DataFrame) -> DataFrame:
     """Store a table of ``value, n`` and payload columns for :func:`attach_by_value`."""
     return durable(values.withColumn("slot", F.lit(0)), "values")
