@@ -1,6 +1,6 @@
 """Near-duplicate documents by bottom-k sketches of their word shingles under one hash function.
 
-A document's sketch holds the least hash values of its shingle set, in order: all of a small set, 128
+A document's sketch holds the least hash values of its shingle set, in order: all of a small set, 96
 of a larger one. Inverted lists of retained values say which sketches overlap, the sketch of the
 union estimates the similarity and drops pairs that are far below, and whole sets decide.
 
@@ -8,15 +8,19 @@ A list for each single value would hold a third of all documents where a word pa
 Lists are therefore keyed by runs of adjacent retained values: where two sets are similar enough,
 few values of the union's sketch are missing from either, so some run is whole in both.
 
-- Sets of up to 160 values are retained whole, and among ``u`` values of which a fifth at most is not
+- Sets of up to 120 values are retained whole, and among ``u`` values of which a fifth at most is not
   shared, runs of 2, 3 or 4 shared ones must exist (by counting; see ``_LENGTHS``). No link is lost.
-- Of larger sets, runs of 5 among 128 values are used. At a similarity of exactly 0.8 the chance that
-  none of them is shared is about 10^-8, and less for more similar sets.
-
-Documents with equal sets are one class and meet once. Short lists pair all their entries. In long
-ones each entry first meets the head of its size band only; after components are known, entries of
-different components are paired, the largest component of a list with the others only, so a list of
-near copies costs in proportion to its length and no link between components is lost.
+- Of larger sets, runs of 5 among 96 values are used. At a similarity of exactly 0.8 the chance that
+  none of them is shared is about 10^-6; at 0.85 it is about 10^-9.
+
+Documents with equal sets are one class and meet once. First each class meets only two others: of the
+heads of its lists (the class whose lists are longest, so the text that the others were most likely
+made from) those that it shares most lists with. Links give components. Then, in lists that still hold
+several components, the classes outside the largest meet all of the others there, unless their parity
+bits rule a link out: a set's values are dealt into 512 bins, a bit says whether a bin holds an odd
+number, and two sets differ in at least as many values as their bits differ. So a list of near copies, or
+of texts that only share a passage, costs pairs in proportion to its length, and no link between
+components is lost.
 
 Defined results: see ``similar_rows``.
 """
@@ -30,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quayside.llm.components import components
@@ -39,11 +44,12 @@ from quayside.session import durable
 
 PERCENT = 80
 WORDS = 2
-KEPT = 128  # values that are retained of a large set
+KEPT = 96  # values that are retained of a large set
 WHOLE = KEPT * 100 // PERCENT  # sets up to this size are retained whole, so that either both of a linkable pair are, or both are large
 #: Run length, and the set sizes it is used for. Two sets of these sizes that link share a run of it.
 _LENGTHS = ((2, 4, 5), (3, 5, 20), (4, 16, WHOLE), (5, KEPT + 1, None))
-SHORT_LIST = 16
+PARTNERS = 2  # classes that each class meets first
+BIT_WORDS = 8  # words of 64 parity bits
 ERROR = 1e-9  # chance that the estimate drops a pair that links
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -106,7 +112,14 @@ def may_link(a: np.ndarray, n: int, b: np.ndarray, m: int) -> tuple[bool, bool]:
     return shared >= _LEAST[min(union, len(_LEAST) - 1)], False
 
 
-ROWS = "id bigint, n bigint, set binary, sketch binary"
+BITS = [f"bits{k}" for k in range(BIT_WORDS)]
+ROWS = "id bigint, n bigint, set binary, sketch binary, " + ", ".join(f"{b} bigint" for b in BITS)
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """For each of 512 bins, whether it holds an odd number of the values."""
+    odd = np.bincount(((shingles * _MIX[4]) >> np.uint64(55)).astype(np.int64), minlength=64 * BIT_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,14 +128,16 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             sets = [shingle_set(text, hashes, WORDS) for text in part.column(1).to_pylist()]
+            bits = np.array([parity_bits(s) for s in sets]).reshape(-1, BIT_WORDS)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([pack(sketch(s)) for s in sets], pa.binary()),
+                    *(pa.array(np.ascontiguousarray(column), pa.int64()) for column in bits.T),
                 ],
-                ["id", "n", "set", "sketch"],
+                ["id", "n", "set", "sketch", *BITS],
             )
 
 
@@ -137,9 +152,8 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array(np.concatenate(keys).view(np.int64)),
                     pa.array(np.repeat(part.column(0).to_numpy(), lengths)),
-                    pa.array(np.repeat(sizes, lengths)),
                 ],
-                ["key", "c", "n"],
+                ["key", "c"],
             )
 
 
@@ -185,8 +199,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _sizes_allow(n: str, m: str) -> Column:
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def _may_link(a: str, b: str) -> Column:
+    """Neither sizes nor parity bits rule a link out: a union of which a fifth at most is not shared has few values that differ."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = sum(F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in BITS)
+    # |A - B| + |B - A| <= (100 - PERCENT) / (100 + PERCENT) * (n + m)
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * differ <= (100 - PERCENT) * (n + m))
 
 
 def _band() -> Column:
@@ -194,38 +212,47 @@ def _band() -> Column:
     return F.floor(F.log(F.col("n").cast("double")) / math.log(100 / PERCENT)).cast("int")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+def _near_bands() -> Column:
+    return F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1))
 
 
-def _first_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of short lists, and in long ones each entry with the heads of its size band and of the one below."""
-    entry = F.struct("n", "c")
-    short = lists.where(F.col("entries") <= SHORT_LIST).groupBy("key").agg(F.collect_list(entry).alias("list"))
-    all_of = short.select("list", F.posexplode("list").alias("k", "a")).select(
-        "a", F.explode(F.slice("list", F.col("k") + 2, F.lit(SHORT_LIST))).alias("b")
-    )
-    long = lists.where(F.col("entries") > SHORT_LIST).withColumn("band", _band())
-    heads = long.groupBy("key", "band").agg(F.min(entry).alias("a"))
-    reach = heads.union(heads.select("key", F.col("band") + 1, "a"))
-    stars = long.select("key", "band", entry.alias("b")).join(reach, ["key", "band"]).select("a", "b")
-    both = all_of.union(stars).select(F.col("a.c").alias("x"), F.col("b.c").alias("y"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-    return _ordered(both.where((F.col("x") != F.col("y")) & _sizes_allow("n", "m")))
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of long lists whose ends are in different components.
+def _first_pairs(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """Each class with those ``PARTNERS`` heads of its lists that it shares most lists with.
 
-    Of two entries in different components one at least is outside the list's largest, so only those
+    A list has a head in each size band: the class whose lists are longest in all.
+    """
+    placed = lists.select("key", "c").join(members.select("c", "band", "weight"), "c")
+    heads = placed.groupBy("key", "band").agg(F.max(F.struct("weight", "c")).alias("head"))
+    reach = heads.select("key", _near_bands().alias("band"), F.col("head.c").alias("h"))
+    shared = placed.join(reach, ["key", "band"]).where(F.col("c") != F.col("h")).groupBy("c", "h").agg(F.count(F.lit(1)).alias("shared"))
+    ends = members.select("c", F.struct("n", *BITS).alias("a")), members.select(F.col("c").alias("h"), F.struct("n", *BITS).alias("b"))
+    may = shared.join(ends[0], "c").join(ends[1], "h").where(_may_link("a", "b"))
+    # A class has at most as many candidates as lists, three times over.
+    best = W.partitionBy("c").orderBy(F.desc("shared"), "h")
+    chosen = may.select("c", "h", F.row_number().over(best).alias("place")).where(F.col("place") <= PARTNERS)
+    return _ordered(chosen.select(F.col("c").alias("x"), F.col("h").alias("y")))
+
+
+def _open_pairs(lists: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs within lists whose ends are in different components.
+
+    Of two classes in different components one at least is outside the list's largest, so only those
     are paired with the whole list: a list of one component costs nothing, one with few strangers little.
     """
-    long = lists.where(F.col("entries") > SHORT_LIST).join(roots, "c").withColumn("band", _band())
-    parts = long.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    placed = lists.select("key", "c").join(roots, "c")
+    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    met = long.join(mixed.select("key", F.col("top.root").alias("major")), "key")
-    minor = met.where(F.col("root") != F.col("major")).select("key", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"), F.col("c").alias("x"), F.col("n").alias("m"), F.col("root").alias("other"))
-    both = met.join(minor, ["key", "band"]).where((F.col("root") != F.col("other")) & _sizes_allow("n", "m"))
-    return _ordered(both.select("x", F.col("c").alias("y")))
+    met = placed.join(mixed.select("key", F.col("top.root").alias("major")), "key").join(members, "c")
+    entry = F.struct("c", "root", "n", *BITS)
+    all_of = met.select("key", "band", entry.alias("a"))
+    minor = met.where(F.col("root") != F.col("major")).select("key", _near_bands().alias("band"), entry.alias("b"))
+    apart = (F.col("a.root") != F.col("b.root")) & _may_link("a", "b")
+    both = all_of.join(minor, ["key", "band"]).where(apart)
+    return _ordered(both.select(F.col("a.c").alias("x"), F.col("b.c").alias("y")))
 
 
 class Classes:
@@ -236,16 +263,20 @@ class Classes:
         self.ids = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
         self.rows = durable(self.ids.mapInArrow(_sketches, ROWS), "sketches")
         grouped = self.rows.where("n > 0").groupBy("set").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"),
+            *[F.first(b).alias(b) for b in BITS],
         )
         # Numbers, written once: unlike digests or parts of them they cannot meet.
         self.classes = durable(grouped.withColumn("c", F.monotonically_increasing_id()), "classes")
 
-    def lists(self) -> DataFrame:
-        """``key, c, n, entries``: the inverted lists that have two entries or more."""
-        postings = self.classes.select("c", "n", "sketch").mapInArrow(_postings, "key bigint, c bigint, n bigint")
-        repeated = durable(postings.groupBy("key").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1"), "lists")
-        return durable(postings.join(repeated, "key"), "postings")
+    def lists(self) -> tuple[DataFrame, DataFrame]:
+        """``key, c, entries``: the inverted lists with two entries or more; and the classes in them with size, bits and weight."""
+        postings = self.classes.select("c", "n", "sketch").mapInArrow(_postings, "key bigint, c bigint")
+        repeated = postings.groupBy("key").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
+        lists = durable(postings.join(repeated, "key"), "postings")
+        weights = lists.groupBy("c").agg(F.sum(F.floor(F.log2("entries") * 16).cast("long")).alias("weight"))
+        members = self.classes.select("c", "n", _band().alias("band"), *BITS).join(weights, "c")
+        return lists, durable(members, "members")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """``u, v``: those of the pairs ``x, y`` of classes that link."""
@@ -270,11 +301,11 @@ class Classes:
 
     def resolve(self) -> tuple[DataFrame, DataFrame]:
         """``u, v`` (links between classes) and ``c, root`` (the component of every class)."""
-        lists = self.lists()
-        first = durable(_first_pairs(lists), "pairs")
+        lists, members = self.lists()
+        first = durable(_first_pairs(lists, members), "pairs")
         links = self.linked(first)
         roots = self._roots(links)
-        rest = durable(_open_pairs(lists, roots).join(first, ["x", "y"], "left_anti"), "pairs")
+        rest = durable(_open_pairs(lists, members, roots).join(first, ["x", "y"], "left_anti"), "pairs")
         if not rest.isEmpty():
             more = self.linked(rest)
             if not more.isEmpty():
