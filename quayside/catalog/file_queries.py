@@ -22,6 +22,7 @@ from quayside.operators.counts import (
     pair_counts,
     reconcile_counts,
 )
+from quayside.operators.reconcile import reconcile_content
 from quayside.operators.tokenize import apply_template
 from quayside.plans.landing import RunConfig, land, verdict
 from quayside.session import run_folder
@@ -350,6 +351,30 @@ def _reconcile_landing(spark, t):
     return pair_counts(source, landed, "folder")
 
 
+ARRIVED = """
+select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 89 = 7 then o_totalprice + 1 else o_totalprice end as o_totalprice,
+  o_orderdate, case when o_orderkey % 83 = 9 then null else o_orderpriority end as o_orderpriority
+from {orders} where o_orderkey % 97 <> 5
+union all select o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from {orders} where o_orderkey % 101 = 3
+union all select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from {orders} where o_orderkey % 103 = 4
+"""
+
+
+@query(
+    "reconcile_content",
+    f"""
+    with d as ({ARRIVED}), e as (
+      select *, 'source' as side from (select * from {{orders}} except all select * from d) a
+      union all select *, 'destination' from (select * from d except all select * from {{orders}}) b)
+    , g as (select *, count(*) as copies from e group by all), k as (select o_orderkey, count(distinct side) as sides from g group by 1)
+    select g.*, case when sides = 2 then 'changed' when side = 'source' then 'missing' else 'added' end as change from g join k using (o_orderkey)
+    """,
+)
+def _reconcile_content(spark, t):
+    """Orders that went missing, were changed, added or doubled on the way, found through digests of key buckets."""
+    return reconcile_content(t.orders, t.sql(ARRIVED), ["o_orderkey"])
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 

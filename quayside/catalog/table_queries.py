@@ -18,6 +18,7 @@ from quayside.operators.profile import (
     profile_topk,
 )
 from quayside.operators.ranks import rank_values
+from quayside.operators.surrogate_buckets import BucketedMap
 from quayside.operators.surrogates import SurrogateMap
 from quayside.operators.tokenize import apply_template
 from quayside.session import run_folder
@@ -92,6 +93,28 @@ def _tokenize_template(spark, t):
     return apply_template(t.customer, template, DEMO_KEY, maps)
 
 
+def _bucketed_sql(value: str, table: str) -> str:
+    """Digest and number of every value: the k-th of bucket b of 64 is k * 64 + b + 1."""
+    return f"""(select d, (row_number() over (partition by b order by d) - 1) * 64 + b + 1 as id
+      from (select d, ('0x' || substr(d, 1, 8))::bigint % 64 as b from (select distinct sha256({value}) as d from {table}) x) y)"""
+
+
+@query(
+    "tokenize_template_bucketed",
+    f"""select doc_id, t.id as text, l.id as lang, s.id as source, {hmac_sql('cast(n_chars as varchar)')} as n_chars
+        from {{documents}} left join {_bucketed_sql('text', '{documents}')} t on t.d = sha256(text)
+        left join {_bucketed_sql('v', '(select lang as v from {documents} union all select source from {documents}) u')} l on l.d = sha256(lang)
+        left join {_bucketed_sql('v', '(select lang as v from {documents} union all select source from {documents}) u')} s on s.d = sha256(source)""",
+)
+def _tokenize_bucketed(spark, t):
+    """Three surrogate columns, one of them whole texts, two of them on one map."""
+    base = run_folder(spark, "buckets")
+    names = BucketedMap(spark, f"{base}/names", 64)
+    maps = {"text": BucketedMap(spark, f"{base}/texts", 64), "lang": names, "source": names}
+    template = {**dict.fromkeys(maps, "surrogate"), "n_chars": "hash"}
+    return apply_template(t.documents, template, DEMO_KEY, maps)
+
+
 @query(
     "mask_column",
     f"""select row_id, repeat('*', greatest(length(masterCard) - 4, 0)) || right(masterCard, 4) as masked

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import tokens
+from quayside.operators.surrogate_buckets import BucketedMap, attach_surrogates
 from quayside.operators.surrogates import SurrogateMap
 
 METHODS = ("hash", "reversible", "surrogate", "mask", "redact")
@@ -55,16 +56,22 @@ def apply_template(
     df: DataFrame,
     template: Mapping[str, object],
     key: bytes | None = None,
-    surrogates: Mapping[str, SurrogateMap] | None = None,
+    surrogates: Mapping[str, SurrogateMap | BucketedMap] | None = None,
 ) -> DataFrame:
-    """Protect the columns a template names; the others, and the order of all, stay as they are."""
+    """Protect the columns a template names; the others, and the order of all, stay as they are.
+
+    Columns with bucketed maps are numbered together; those with ordered maps one after the other.
+    """
     check_template(df.columns, template)
     numbered = [c for c, entry in template.items() if _rule(entry)[0] == "surrogate"]
     for column in numbered:
         if column not in (surrogates or {}):
             raise ValueError(f"column {column}: method 'surrogate' needs a surrogate map")
-    out = df
+    bucketed = {c: surrogates[c] for c in numbered if isinstance(surrogates[c], BucketedMap)}
+    numbered = [c for c in numbered if c not in bucketed]
+    out = attach_surrogates(df, bucketed) if bucketed else df
     for column in numbered:
         out = surrogates[column].attach(out, column, f"{column}__id")
-    out = apply_row_template(out, {c: e for c, e in template.items() if c not in numbered}, key)
+    rest = {c: e for c, e in template.items() if c not in numbered and c not in bucketed}
+    out = apply_row_template(out, rest, key)
     return out.select(*[F.col(f"{c}__id").alias(c) if c in numbered else c for c in df.columns])
