@@ -59,6 +59,14 @@ class Pieces:
         for value, i in self.byte_ids.items():
             self.bytes[i] = bytes([value])
         self.longest = max(map(len, names))
+        # Code points of every piece, one after the other, to see that a piece spells the stretch it was found for.
+        self.code_start = np.zeros(size, np.int64)
+        held, flat = 0, []
+        for name, i in names.items():
+            self.code_start[i] = held
+            flat.append(name)
+            held += len(name)
+        self.codes = np.frombuffer("".join(flat).encode("utf-32-le"), "<u4").astype(np.int64)
         inner = any(BLANK in name.lstrip(BLANK) for name in names) or any("\n" in name for name in names)
         self.units = re.compile(r"(?s).+") if inner else re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n+")
         entries: dict[int, int] = {}
@@ -109,38 +117,119 @@ class Pieces:
         return data.decode("utf-8", "replace").replace(BLANK, " ").removeprefix(" ")
 
 
+class _Numbers(dict):
+    """Numbers things in the order in which they are first met."""
+
+    def __missing__(self, thing: str) -> int:
+        self[thing] = number = len(self)
+        return number
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start[i], start[i] + 1, …`` for ``size[i]`` places, one after the other."""
+    first = np.cumsum(size) - size
+    return np.arange(int(size.sum())) + np.repeat(start - first, size)
+
+
 class Lattice:
-    """Lattices of distinct units. Edge arrays are in the order of their starts, longest first."""
+    """Lattices of distinct units, one after the other; units can be added, and kept from text to text.
 
-    def __init__(self, pieces: Pieces, units: list[str]):
+    Edge arrays are in the order of their starts, longest first. ``first`` is the place where a unit
+    begins; an edge leads to ``target`` unless it ``ends`` its unit.
+    """
+
+    EDGES = {"piece": np.int32, "target": np.int32, "ends": bool, "spells": bool, "logp": np.float64, "upto": np.float64}
+
+    def __init__(self, pieces: Pieces, units: list[str] = ()):
+        self.pieces = pieces
+        self.number = _Numbers()
+        self._empty()
+        for unit in units:
+            self.number[unit]
+        self.grow()
+
+    def _empty(self) -> None:
+        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.begin, self.uses = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        for name, kind in self.EDGES.items():
+            setattr(self, name, np.zeros(0, kind))
+
+    def grow(self) -> None:
+        """Add the lattices of units that were numbered since the last time."""
+        fresh = list(self.number)[len(self.first) :] if len(self.number) > len(self.first) else []
+        if not fresh:
+            return
+        part = self._part(fresh)
+        nodes, edges = len(self.begin) - 1, len(self.piece)
+        part["target"] = np.where(part["ends"], 0, part["target"] + nodes)
+        self.first = np.append(self.first, part["first"] + nodes)
+        self.length = np.append(self.length, part["length"])
+        self.begin = np.append(self.begin, part["begin"][1:] + edges)
+        self.uses = np.append(self.uses, np.zeros(len(fresh), np.int64))
+        for name, kind in self.EDGES.items():
+            setattr(self, name, np.concatenate((getattr(self, name), part[name].astype(kind))))
+
+    def shrink(self, most: int) -> None:
+        """Keep at most ``most`` units, the more used ones, and of those only what came twice. Numbers change."""
+        order = np.argsort(-self.uses, kind="stable")[:most]
+        keep = np.sort(order[self.uses[order] > 1])
+        names = list(self.number)
+        old = {name: getattr(self, name) for name in ("first", "length", "begin", "uses", *self.EDGES)}
+        self._empty()
+        self.number = _Numbers(zip([names[n] for n in keep.tolist()], range(len(keep))))
+        self.length, self.uses = old["length"][keep], old["uses"][keep] // 2
+        self.first = np.cumsum(self.length) - self.length
+        nodes = ranges(old["first"][keep], self.length)
+        degree = np.diff(old["begin"])[nodes]
+        self.begin = np.append(0, np.cumsum(degree))
+        edges = ranges(old["begin"][nodes], degree)
+        for name in self.EDGES:
+            setattr(self, name, old[name][edges])
+        moved = np.repeat(np.repeat(self.first - old["first"][keep], self.length), degree)
+        self.target = np.where(self.ends, 0, self.target + moved).astype(np.int32)
+
+    def _part(self, units: list[str]) -> dict[str, np.ndarray]:
+        """The lattices of some units, with places counted from the first of them."""
+        pieces = self.pieces
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         n = len(codes)
-        self.first = np.cumsum(lengths) - lengths
-        left = np.repeat(self.first + lengths, lengths) - np.arange(n)
+        first = np.cumsum(lengths) - lengths
+        left = np.repeat(first + lengths, lengths) - np.arange(n)
         starts, sizes, ids = self._edges(pieces, codes, left)
         degree = np.zeros(n, np.int64)
         for s in starts:
             degree[s] += 1
-        self.begin = np.append(0, np.cumsum(degree))
-        total = int(self.begin[-1])
-        size_of, self.piece, weight = np.zeros(total, np.int32), np.zeros(total, np.int64), np.zeros(total)
-        last = self.begin[1:].copy()
+        begin = np.append(0, np.cumsum(degree))
+        total = int(begin[-1])
+        size_of, piece, weight, spells = np.zeros(total, np.int32), np.zeros(total, np.int64), np.zeros(total), np.zeros(total, bool)
+        last = begin[1:].copy()
         for s, size, i in zip(starts, sizes, ids):
-            last[s] -= 1
-            at = last[s]
-            size_of[at], self.piece[at], weight[at] = size, i, np.where(i >= 0, pieces.weights[np.maximum(i, 0)], 0.0)
+            at = last[s] - 1
+            last[s] = at
+            known = np.maximum(i, 0) if size == 1 else i
+            begins = pieces.code_start[known]
+            same = codes[s] == pieces.codes[begins]
+            for k in range(1, size):
+                same &= codes[s + k] == pieces.codes[begins + k]
+            size_of[at], piece[at], weight[at], spells[at] = size, i, pieces.weights[known], same
+            if size == 1:
+                bare = at[i < 0]
+                weight[bare], spells[bare] = 0.0, bool(pieces.byte_ids)
         source = np.repeat(np.arange(n), degree)
-        self.ends = size_of == left[source]
+        ends = size_of == left[source]
         # Where an edge leads; the ends of all units are one place, whose backward sum is 0.
-        self.target = np.where(self.ends, n, source + size_of)
-        back = self._backward(weight, self.target, left, source)
-        self.logp = np.minimum(weight + back[self.target] - back[source], 0.0)
-        chance = np.exp(self.logp)
-        upto = np.cumsum(chance)
-        before = np.append(0.0, upto)[self.begin[:-1]]
-        self.upto = upto - np.repeat(before, degree)
-        self.upto[self.begin[1:] - 1] = 2.0
+        target = np.where(ends, n, source + size_of)
+        back = self._backward(weight, target, left, source)
+        logp = np.minimum(weight + back[target] - back[source], 0.0)
+        upto = np.cumsum(np.exp(logp))
+        before = np.append(0.0, upto)[begin[:-1]]
+        upto = upto - np.repeat(before, degree)
+        upto[begin[1:] - 1] = 2.0
+        return {
+            "first": first, "length": lengths, "begin": begin, "piece": piece, "target": target, "ends": ends,
+            "spells": spells, "logp": logp, "upto": upto,
+        }
 
     @staticmethod
     def _edges(pieces: Pieces, codes: np.ndarray, left: np.ndarray):
@@ -304,24 +393,26 @@ def _log_inclusion(logp: float, threshold: float) -> float:
     return x if x < -30 else float(np.log(-np.expm1(-np.exp(min(x, 50.0)))))
 
 
-class _Numbers(dict):
-    """Numbers things in the order in which they are first met."""
-
-    def __missing__(self, thing: str) -> int:
-        self[thing] = number = len(self)
-        return number
-
-
 def sample_texts(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int, seed: int) -> list[list[tuple]]:
     """For each text up to ``k`` distinct segmentations, in falling order of their perturbed values:
     ``(ids, log_prob, perturbed, log_inclusion)``.
     """
-    number = _Numbers()
+    return [[row[:4] for row in rows] for rows in search_texts(Lattice(pieces), texts, keys, k, seed)]
+
+
+def search_texts(lattice: Lattice, texts: list[str], keys: np.ndarray, k: int, seed: int) -> list[list[tuple]]:
+    """The same over a lattice that other texts have made, which grows by the units of these.
+
+    Each row has at its end whether each piece spells its stretch of the text.
+    """
+    pieces, number = lattice.pieces, lattice.number
     units: list[np.ndarray] = []
     for text in texts:
         split = pieces.split(text)
         units.append(np.fromiter(map(number.__getitem__, split), np.int64, len(split)))
-    lattice = Lattice(pieces, list(number))
+    lattice.grow()
+    if units:
+        lattice.uses += np.bincount(np.concatenate(units), minlength=len(lattice.uses))
     seeds = uniform_state(keys, seed)
     searches = [_Search(s, k) for s in seeds]
     todo = []
@@ -374,12 +465,14 @@ def sample_texts(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int, see
             todo.append((d, value, np.append(path[:at], edge), start, unit + 1))
             origin[d] = (at, shut, np.append(of[:at], unit))
     out = []
-    for search in searches:
+    for text, own, search in zip(texts, units, searches):
         limit = search.threshold()
+        whole = int(lattice.length[own].sum()) == (len(text) + 1 if text else 0)
         rows = []
         for path, logp, value in search.found:
             total = float(logp.sum())
-            rows.append((_ids(pieces, lattice, path), total, value, _log_inclusion(total, limit)))
+            spelt = whole and bool(lattice.spells[path].all())
+            rows.append((_ids(pieces, lattice, path), total, value, _log_inclusion(total, limit), spelt))
         out.append(rows)
     return out
 
@@ -393,9 +486,9 @@ def _start(lattice: Lattice, path: np.ndarray, of: np.ndarray, units: np.ndarray
 
 def _ids(pieces: Pieces, lattice: Lattice, path: np.ndarray) -> np.ndarray:
     ids = lattice.piece[path]
+    if not len(ids) or ids.min() >= 0:
+        return ids
     bare = np.flatnonzero(ids < 0)
-    if not len(bare):
-        return ids.astype(np.int32)
     parts, last = [], 0
     for i in bare.tolist():
         parts += [ids[last:i], pieces.ids_of_char(int(-1 - ids[i]))]

@@ -30,11 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from quayside.llm.lattice import BLANK, Pieces, sample_texts
+from quayside.llm.exprs import fresh
+from quayside.llm.lattice import Lattice, Pieces, search_texts
 
-#: Characters of texts that share one lattice table; a longer text has one for itself.
-BATCH_CHARS = 3_000_000
+#: Characters of texts that are searched together; a longer text is searched alone.
+BATCH_CHARS = 1_000_000
 BATCH_ROWS = 4096
+#: Units whose lattices a worker keeps from batch to batch.
+KNOWN_UNITS = 120_000
 
 SAMPLE = (
     "array<struct<rank: int, ids: array<int>, n_pieces: int, log_prob: double, perturbed: double, "
@@ -68,45 +71,47 @@ def _row_keys(values: list) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(repr(v).encode()) for v in values], np.uint64)
 
 
-def _samples(pieces: Pieces, texts: list[str | None], keys: np.ndarray, k: int, seed: int, with_ids: bool) -> list[list[dict]]:
+def _samples(lattice: Lattice, texts: list[str | None], keys: np.ndarray, k: int, seed: int, with_ids: bool) -> pa.Array:
+    """The segmentations of each text as one flat table with offsets; a null text has none."""
     known = [i for i, text in enumerate(texts) if text is not None]
-    drawn = sample_texts(pieces, [texts[i] for i in known], keys[known], k, seed) if known else []
-    out: list[list[dict]] = [[] for _ in texts]
-    for i, rows in zip(known, drawn):
-        plain = texts[i].replace(BLANK, " ")
-        out[i] = [
-            {
-                "rank": rank,
-                "ids": ids if with_ids else None,
-                "n_pieces": len(ids),
-                "log_prob": log_prob,
-                "perturbed": value,
-                "log_inclusion": inclusion,
-                "ids_sha256": hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(),
-                "decodes": pieces.decode(ids) == plain,
-            }
-            for rank, (ids, log_prob, value, inclusion) in enumerate(rows, 1)
-        ]
-    return out
-
-
-def _sampler(model: str, k: int, alpha: float, seed: int, with_ids: bool, keep: list[str], names: list[str]):
+    drawn = search_texts(lattice, [texts[i] for i in known], keys[known], k, seed) if known else []
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[known] = [len(rows) for rows in drawn]
+    flat = [row for rows in drawn for row in rows]
+    lengths = np.fromiter((len(row[0]) for row in flat), np.int64, len(flat))
+    if with_ids:
+        all_ids = np.concatenate([row[0] for row in flat]) if flat else np.zeros(0, np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(all_ids, pa.int32()))
+    else:
+        ids = pa.nulls(len(flat), pa.list_(pa.int32()))
+    columns = [
+        pa.array([rank for rows in drawn for rank in range(1, len(rows) + 1)], pa.int32()),
+        ids,
+        pa.array(lengths.astype(np.int32)),
+        *(pa.array([row[at] for row in flat], pa.float64()) for at in (1, 2, 3)),
+        pa.array([hashlib.sha256(row[0].astype("<i4").tobytes()).hexdigest() for row in flat], pa.string()),
+        pa.array([row[4] for row in flat], pa.bool_()),
+    ]
+    rows = pa.StructArray.from_arrays(columns, fields=list(_ARROW_SAMPLE.value_type))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), rows)
+
+
+def _sampler(model: str, k: int, alpha: float, seed: int, with_ids: bool, kept: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(model, alpha)
+        lattice = Lattice(load(model, alpha))
         for batch in batches:
-            texts, keys = batch.column("__text"), batch.column("__key")
+            texts, keys = batch.column(kept), batch.column(kept + 1)
             start = 0
-            sizes = [n or 0 for n in pc.utf8_length(texts).to_pylist()]
+            sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
             while start < batch.num_rows:
-                end, chars = start, 0
-                while end < batch.num_rows and end - start < BATCH_ROWS and (end == start or chars + sizes[end] <= BATCH_CHARS):
-                    chars += sizes[end]
-                    end += 1
-                n = end - start
-                rows = _samples(pieces, texts.slice(start, n).to_pylist(), _row_keys(keys.slice(start, n).to_pylist()), k, seed, with_ids)
-                columns = [batch.column(name).slice(start, n) for name in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, _ARROW_SAMPLE)], names)
-                start = end
+                upto = np.cumsum(sizes[start : start + BATCH_ROWS], dtype=np.int64)
+                n = max(int(np.searchsorted(upto, BATCH_CHARS, side="right")), 1)
+                rows = _samples(lattice, texts.slice(start, n).to_pylist(), _row_keys(keys.slice(start, n).to_pylist()), k, seed, with_ids)
+                columns = [batch.column(at).slice(start, n) for at in range(kept)]
+                yield pa.RecordBatch.from_arrays([*columns, rows], names)
+                start += n
+                if len(lattice.number) > KNOWN_UNITS:
+                    lattice.shrink(KNOWN_UNITS // 2)
 
     return run
 
@@ -127,7 +132,8 @@ def sample_segmentations(
 
     ``model`` is a path that every executor can read. Each segmentation has its ids (unless
     ``with_ids`` is false), their number and digest, its log-probability, its perturbed value, the
-    log of its inclusion probability, and whether its ids decode to the text.
+    log of its inclusion probability, and whether its ids decode to the text: whether each of its
+    pieces spells the stretch of the text that it stands for.
     """
     if k < 1:
         raise ValueError("k must be 1 or more")
@@ -135,18 +141,20 @@ def sample_segmentations(
     if out.lower() in {name.lower() for name in keep}:
         raise ValueError(f"the input already has a column {out!r}")
     schema = StructType([df.schema[name] for name in keep] + [StructField(out, _parse_datatype_string(SAMPLE))])
-    fed = df.select(*keep, F.col(text).alias("__text"), F.col(key).cast("string").alias("__key"))
-    return fed.mapInArrow(_sampler(model, k, alpha, seed, with_ids, keep, [*keep, out]), schema)
+    # Columns are taken by place, so names of the input cannot clash with these.
+    columns = [F.col(f"`{name}`") for name in keep]
+    fed = df.select(*columns, F.col(f"`{text}`").alias(fresh(df, "text")), F.col(f"`{key}`").cast("string").alias(fresh(df, "key")))
+    return fed.mapInArrow(_sampler(model, k, alpha, seed, with_ids, len(keep), [*keep, out]), schema)
 
 
-def _decoder(model: str):
+def _decoder(model: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            ids = batch.column("__ids").to_pylist()
+            ids = batch.column(batch.num_columns - 1).to_pylist()
             texts = [None if x is None else pieces.decode(np.array([i for i in x if i is not None], np.int64)) for x in ids]
             columns = batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], batch.schema.names[:-1] + ["__text"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], batch.schema.names[:-1] + [out])
 
     return run
 
@@ -155,5 +163,5 @@ def decode_ids(df: DataFrame, model: str, ids: str, out: str = "decoded") -> Dat
     """``df`` with the text of each id list; null lists give null, null ids nothing."""
     if out.lower() in {name.lower() for name in df.columns}:
         raise ValueError(f"the input already has a column {out!r}")
-    schema = StructType([*df.schema.fields, StructField("__text", _parse_datatype_string("string"))])
-    return df.select("*", F.col(ids).alias("__ids")).mapInArrow(_decoder(model), schema).withColumnRenamed("__text", out)
+    schema = StructType([*df.schema.fields, StructField(out, _parse_datatype_string("string"))])
+    return df.select("*", F.col(f"`{ids}`").alias(fresh(df, "ids"))).mapInArrow(_decoder(model, out), schema)
