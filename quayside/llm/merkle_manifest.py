@@ -38,7 +38,6 @@ from quayside.session import durable
 
 FANOUT = 16
 LEVELS = 3
-PLATE = FANOUT**LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -113,24 +112,28 @@ def _parents(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sha_lanes.finish(state, counts), before
 
 
-def _grow(key: tuple, table: pa.Table) -> pa.Table:
-    """All parents of one plate: up to three levels, until one node remains."""
-    group, plate = (k.as_py() for k in key)
-    table = table.sort_by("pos")
-    height = table.column("height")[0].as_py()
-    nodes, rows = _digests(table.column("digest")), []
-    for level in range(min(LEVELS, height)):
-        parents, before = _parents(nodes)
-        states = sha_lanes.to_bytes(before)
-        top = level + 1 == min(LEVELS, height)
-        for i, digest in enumerate(parents):
-            span = slice(i * FANOUT, (i + 1) * FANOUT)
-            rows.append((group, plate, level, i, top, height, digest.tobytes(), nodes[span].tobytes(), states[span].tobytes()))
-        nodes = parents
-    return pa.table(
-        [pa.array(c, t) for c, t in zip(zip(*rows), _types(NODES))],
-        names=[field.split()[0] for field in NODES.split(", ")],
-    )
+def _grow(levels: int):
+    """All parents of one plate: up to so many levels, until one node remains."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        group, plate = (k.as_py() for k in key)
+        table = table.sort_by("pos")
+        height = table.column("height")[0].as_py()
+        nodes, rows = _digests(table.column("digest")), []
+        for level in range(min(levels, height)):
+            parents, before = _parents(nodes)
+            states = sha_lanes.to_bytes(before)
+            top = level + 1 == min(levels, height)
+            for i, digest in enumerate(parents):
+                span = slice(i * FANOUT, (i + 1) * FANOUT)
+                rows.append((group, plate, level, i, top, height, digest.tobytes(), nodes[span].tobytes(), states[span].tobytes()))
+            nodes = parents
+        return pa.table(
+            [pa.array(c, t) for c, t in zip(zip(*rows), _types(NODES))],
+            names=[field.split()[0] for field in NODES.split(", ")],
+        )
+
+    return run
 
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
@@ -140,20 +143,20 @@ def _types(schema: str) -> list[pa.DataType]:
     return [_ARROW[field.split()[1]] for field in schema.split(", ")]
 
 
-def _plated(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("plate", F.floor(F.col("pos") / PLATE))
+def _plated(rows: DataFrame, levels: int) -> DataFrame:
+    return rows.withColumn("plate", F.floor(F.col("pos") / FANOUT**levels))
 
 
-def _trees(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def _trees(leaves: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
     """Parents tier by tier over ``grp, pos, digest, height``, and the top of every group: ``grp, subroot, tier``."""
     tallest = leaves.agg(F.max("height")).first()[0] or 0
     rows, tiers = leaves, []
     tops = leaves.where("height = 0").select("grp", F.col("digest").alias("subroot"), F.lit(0).alias("tier"))
-    for tier in range(-(-tallest // LEVELS)):
-        plates = _plated(rows.where("height > 0").select("grp", "pos", "digest", "height")).groupBy("grp", "plate")
-        nodes = durable(plates.applyInArrow(_grow, NODES), "merkle-nodes")
+    for tier in range(-(-tallest // levels)):
+        plates = _plated(rows.where("height > 0").select("grp", "pos", "digest", "height"), levels).groupBy("grp", "plate")
+        nodes = durable(plates.applyInArrow(_grow(levels), NODES), "merkle-nodes")
         tiers.append(nodes)
-        rows = nodes.where("top").select("grp", F.col("plate").alias("pos"), "digest", F.greatest(F.col("height") - LEVELS, F.lit(0)).alias("height"))
+        rows = nodes.where("top").select("grp", F.col("plate").alias("pos"), "digest", F.greatest(F.col("height") - levels, F.lit(0)).alias("height"))
         tops = tops.union(rows.where("height = 0").select("grp", F.col("digest").alias("subroot"), F.lit(tier)))
     return tiers, tops
 
@@ -170,22 +173,23 @@ class Manifest:
     groups: DataFrame
     group_tiers: list[DataFrame]
     root: bytes | None
+    levels: int
 
 
-def build_manifest(leaves: DataFrame) -> Manifest:
+def build_manifest(leaves: DataFrame, levels: int = LEVELS) -> Manifest:
     """``leaves`` has ``grp`` (text, null allowed), ``key``, ``leaf`` (32 bytes), and columns that are kept."""
     named = leaves.withColumn("grp", F.coalesce(F.concat(F.lit("="), "grp"), F.lit("")))
     placed = _numbered(durable(named, "merkle-leaves"), ["key", "leaf"], "merkle-ranges")
     sizes = placed.groupBy("grp").agg(_height(F.count(F.lit(1))).alias("height"))
     placed = durable(placed.join(sizes, "grp"), "merkle-placed")
-    tiers, tops = _trees(placed.withColumnRenamed("leaf", "digest"))
+    tiers, tops = _trees(placed.withColumnRenamed("leaf", "digest"), levels)
     groups = tops.select(F.lit("").alias("grp"), F.col("grp").alias("name"), F.col("subroot").alias("digest"), "tier")
     groups = _numbered(durable(groups, "merkle-tops"), ["name"], "merkle-groups")
     groups = durable(groups, "merkle-groups")
     groups = groups.withColumn("height", _height(F.lit(groups.count())))
-    group_tiers, top = _trees(groups)
+    group_tiers, top = _trees(groups, levels)
     last = top.first()
-    return Manifest(placed, tiers, groups, group_tiers, bytes(last["subroot"]) if last else None)
+    return Manifest(placed, tiers, groups, group_tiers, bytes(last["subroot"]) if last else None, levels)
 
 
 PATHS = "grp string, pos bigint, subroot binary, path array<struct<slot: int, state: binary, children: binary>>"
@@ -210,36 +214,34 @@ class _Plate:
         return {"slot": at % FANOUT, "state": states[at].tobytes(), "children": children[begin : begin + FANOUT].tobytes()}
 
 
-def _descend(key: tuple, nodes: pa.Table, paths: pa.Table) -> pa.Table:
+def _descend(levels: int):
     """Paths of all leaves of a plate from the path of its top."""
-    if not nodes.num_rows or not paths.num_rows:
-        return pa.table([pa.array([], t) for t in (pa.string(), pa.int64(), pa.binary(), pa.list_(_STEP))], names=["grp", "pos", "subroot", "path"])
-    plate, above = _Plate(nodes), paths.column("path")[0].as_py()
-    n = len(plate.levels[0][0])
-    own = [[plate.step(k, i // FANOUT**k) for k in range(len(plate.levels))] + above for i in range(n)]
-    first = key[1].as_py() * PLATE
-    return pa.table(
-        [
-            pa.array([key[0].as_py()] * n, pa.string()),
-            pa.array(range(first, first + n), pa.int64()),
-            pa.array([paths.column("subroot")[0].as_py()] * n, pa.binary()),
-            pa.array(own, pa.list_(_STEP)),
-        ],
-        names=["grp", "pos", "subroot", "path"],
-    )
+    names, types = ["grp", "pos", "subroot", "path"], (pa.string(), pa.int64(), pa.binary(), pa.list_(_STEP))
+
+    def run(key: tuple, nodes: pa.Table, paths: pa.Table) -> pa.Table:
+        if not nodes.num_rows or not paths.num_rows:
+            return pa.table([pa.array([], t) for t in types], names=names)
+        plate, above = _Plate(nodes), paths.column("path")[0].as_py()
+        n = len(plate.levels[0][0])
+        own = [[plate.step(k, i // FANOUT**k) for k in range(len(plate.levels))] + above for i in range(n)]
+        first = key[1].as_py() * FANOUT**levels
+        columns = [key[0].as_py()] * n, range(first, first + n), [paths.column("subroot")[0].as_py()] * n, own
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return run
 
 
-def _down(tiers: list[DataFrame], starts: DataFrame, lowest: int) -> DataFrame:
-    """Paths that arrive at the plates of tier ``lowest``; a group's ``starts`` enters at its top tier."""
+def _down(tiers: list[DataFrame], starts: DataFrame, levels: int) -> DataFrame:
+    """Paths that arrive at the lowest plates; a group's ``starts`` enters at its top tier."""
     paths = starts.where(F.col("tier") >= len(tiers) - 1).select("grp", F.lit(0).cast("long").alias("pos"), "subroot", "path")
-    for tier in range(len(tiers) - 1, lowest - 1, -1):
+    for tier in range(len(tiers) - 1, -1, -1):
         if tier < len(tiers) - 1:
             here = starts.where(F.col("tier") == tier).select("grp", F.lit(0).cast("long").alias("pos"), "subroot", "path")
             paths = paths.union(here)
-        if tier == lowest:
+        if tier == 0:
             break
         met = tiers[tier].groupBy("grp", "plate").cogroup(paths.withColumnRenamed("pos", "plate").groupBy("grp", "plate"))
-        paths = durable(met.applyInArrow(_descend, PATHS), "merkle-paths")
+        paths = durable(met.applyInArrow(_descend(levels), PATHS), "merkle-paths")
     return paths
 
 
@@ -265,20 +267,20 @@ def _distinct(place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndar
 FOLDED = "subroot binary, proof string, folded binary"
 
 
-def _fold(names: Sequence[str], kept: pa.Schema):
+def _fold(names: Sequence[str], kept: pa.Schema, levels: int):
     def run(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
         n = rows.num_rows
         if not n:
             return pa.table([pa.array([], f.type) for f in kept] + [pa.array([], t) for t in (pa.binary(), pa.string(), pa.binary())], names=names)
         path_row = known.filter(pc.field("level") < 0)
         nodes = known.filter(pc.field("level") >= 0)
-        levels = _Plate(nodes).levels if nodes.num_rows else []
+        inside = _Plate(nodes).levels if nodes.num_rows else []
         above = path_row.column("path")[0].as_py()
-        at = rows.column("pos").to_numpy() % PLATE
+        at = rows.column("pos").to_numpy() % FANOUT**levels
         value = _digests(rows.column("given"))
         siblings: list[list[bytes]] = []
         place = at
-        for children, states in levels:
+        for children, states in inside:
             begin, slot = place - place % FANOUT, place % FANOUT
             count = np.minimum(FANOUT, len(children) - begin)
             first, inverse = _distinct(place, value)
@@ -330,34 +332,35 @@ def fold(manifest: Manifest, given: str, keep: Sequence[str]) -> DataFrame:
         start = spark.range(1).select(
             F.lit("").alias("grp"), F.lit(None).cast("binary").alias("subroot"), nothing.alias("path"), F.lit(len(manifest.group_tiers) - 1).alias("tier")
         )
-        paths = _down(manifest.group_tiers, start, 0).withColumnRenamed("pos", "plate")
+        paths = _down(manifest.group_tiers, start, manifest.levels).withColumnRenamed("pos", "plate")
         met = manifest.group_tiers[0].groupBy("grp", "plate").cogroup(paths.groupBy("grp", "plate"))
-        arrived = groups.join(met.applyInArrow(_descend, PATHS).select("pos", "path"), "pos")
+        arrived = groups.join(met.applyInArrow(_descend(manifest.levels), PATHS).select("pos", "path"), "pos")
     else:
         arrived = groups.withColumn("path", nothing)
     starts = durable(arrived.select(F.col("name").alias("grp"), F.col("digest").alias("subroot"), "path", "tier"), "merkle-starts")
-    paths = _down(tiers, starts, 0) if tiers else starts.select("grp", F.lit(0).cast("long").alias("pos"), "subroot", "path")
+    paths = _down(tiers, starts, manifest.levels) if tiers else starts.select("grp", F.lit(0).cast("long").alias("pos"), "subroot", "path")
     known = paths.select("grp", F.col("pos").alias("plate"), F.lit(-1).alias("level"), "subroot", "path")
     lowest = tiers[0] if tiers else spark.createDataFrame([], NODES)
     known = known.unionByName(lowest.select("grp", "plate", "level", "at", "children", "states"), allowMissingColumns=True)
-    rows = _plated(manifest.leaves.select(*keep, "grp", "pos", F.col(given).alias("given")))
+    rows = _plated(manifest.leaves.select(*keep, "grp", "pos", F.col(given).alias("given")), manifest.levels)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields)
     kept = to_arrow_schema(rows.select(*keep).schema)
-    run = _fold([*keep, "subroot", "proof", "folded"], kept)
+    run = _fold([*keep, "subroot", "proof", "folded"], kept, manifest.levels)
     return rows.groupBy("grp", "plate").cogroup(known.groupBy("grp", "plate")).applyInArrow(run, f"{schema}, {FOLDED}")
 
 
-def verify_documents(docs: DataFrame, tampered: Column, changed_text: Column, key: str = "doc_id", group: str = "source", text: str = "text") -> DataFrame:
+def verify_documents(docs: DataFrame, tampered: Column, changed_text: Column, key: str = "doc_id", group: str = "source", text: str = "text", levels: int = LEVELS) -> DataFrame:
     """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` for every row of ``docs``.
 
     The manifest is that of the rows as they are. Rows where ``tampered`` holds are folded with a leaf
     of ``changed_text`` in place of their text, and verify only if that leaves the root as it was.
+    ``levels`` is the height of the plates that tasks work on; it does not change the tree.
     """
     own = {name: F.col(text if name == "text" else key if name == "doc_id" else group if name == "source" else name) for name in FIELDS}
     leaf = leaf_hash(list(own.values()))
     other = leaf_hash([changed_text if name == "text" else value for name, value in own.items()])
     leaves = docs.select(F.col(key).alias("key"), F.col(group).alias("grp"), leaf.alias("leaf"), F.when(tampered, other).otherwise(leaf).alias("given"))
-    manifest = build_manifest(leaves)
+    manifest = build_manifest(leaves, levels)
     folded = fold(manifest, "given", ["key", "leaf"])
     told = lambda c: F.lower(F.hex(c))
     root = told(F.lit(manifest.root).cast("binary"))
