@@ -22,11 +22,13 @@ from quayside.operators.counts import (
     pair_counts,
     reconcile_counts,
 )
-from quayside.operators.reconcile import reconcile_content
+from quayside.operators.reconcile import SUMS, hash_sums, reconcile_content, row_hashes
 from quayside.operators.tokenize import apply_template
 from quayside.plans.landing import RunConfig, land, verdict
 from quayside.session import run_folder
+from quayside.sinks.file_manifest import check_manifest, write_with_manifest
 from quayside.sinks.files import FORMATS, read_options, sink_csv, sink_format, sink_observed, sink_partitioned
+from quayside.sinks.planned import sink_planned
 from quayside.sinks.state import StateTable, mark_processed, store_watermark
 from quayside.sinks.warehouse import add_load_timestamp, sink_warehouse_gated
 from quayside.sources.files import scan_csv, scan_csv_glob, scan_parquet, scan_staged
@@ -170,6 +172,22 @@ def _sink_partitioned(spark, t):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+SKEWED = "select *, case when l_orderkey % 3 = 0 then 'hot' else concat('k', l_suppkey) end as slot from {lineitem}"
+
+
+@query("sink_planned", f"select l.*, true as sized from ({SKEWED}) l")
+def _sink_planned(spark, t):
+    """Whole rows by a skewed value, a third of them under one: no file is much larger than planned, and rare values have one."""
+    rows, path = t.sql(SKEWED), run_folder(spark, "planned")
+    target = max(rows.count() // 40, 1)
+    plan = sink_planned(rows, path, ["slot"], rows_per_file=target)
+    back = spark.read.schema(rows.schema).parquet(path)
+    files = back.groupBy(F.col("_metadata.file_path").alias("file"), "slot").agg(F.count(F.lit(1)).alias("n"))
+    sizes = files.groupBy("slot").agg(F.count(F.lit(1)).alias("files"), F.max("n").alias("largest")).join(plan, "slot")
+    good = sizes.agg(F.min((F.col("files") <= F.col("pieces")) & (F.col("largest") <= 1.5 * target))).first()[0]
+    return back.withColumn("sized", F.lit(good))
+
+
 @query(
     "sink_secured_zone",
     f"select c_custkey, {hmac_sql('c_name')} as c_name, c_nationkey, c_acctbal, c_mktsegment from {{customer}}",
@@ -319,6 +337,23 @@ def _observe(spark, t):
                                  F.lit(recounted).cast("bigint").alias("recounted"))
 
 
+@query(
+    "sink_manifest",
+    "select count(*) as manifest_rows, count(*) as source_rows, true as same_content, cast(0 as bigint) as changed_files from {orders}",
+)
+def _sink_manifest(spark, t):
+    """The rows of a write as its committed files tell them, and whether they hold what the source does."""
+    path = f"{run_folder(spark, 'manifest')}/zone"
+    manifest = write_with_manifest(t.orders, path, "csv")
+    told = manifest.agg(*[F.sum(c).alias(c) for c in ("rows", *SUMS)])
+    own = t.orders.select(*row_hashes(t.orders, t.orders.columns)).agg(*hash_sums())
+    same = told.selectExpr(f"struct({', '.join(SUMS)}) as a", "rows as manifest_rows").join(
+        own.selectExpr(f"struct({', '.join(SUMS)}) as b", "rows as source_rows"), F.lit(True)
+    )
+    changed = check_manifest(spark, path, t.orders.schema, "csv").count()
+    return same.select("manifest_rows", "source_rows", (F.col("a") == F.col("b")).alias("same_content"), F.lit(changed).cast("bigint").alias("changed_files"))
+
+
 @query(
     "reconcile_counts",
     """

@@ -17,10 +17,13 @@ from quayside.operators.profile import (
     profile_table,
     profile_topk,
 )
+from quayside.operators.heavy import heavy_hitters
+from quayside.operators.profile_store import RANK_ERROR, ProfileStore
 from quayside.operators.ranks import rank_values
 from quayside.operators.surrogate_buckets import BucketedMap
 from quayside.operators.surrogates import SurrogateMap
 from quayside.operators.tokenize import apply_template
+from quayside.operators.values import value_stats
 from quayside.session import run_folder
 
 # --- tokens -----------------------------------------------------------------------------------
@@ -199,14 +202,64 @@ def _profile_approx(spark, t):
     return profile_columns(t.lineitem, exact=False)
 
 
+FAULTY = """select doc_id, case when doc_id % 11 = 3 then null else text end as text, lang,
+  case when doc_id % 7 = 1 then null else source end as source, n_chars from {documents}
+  union all select doc_id, text, lang, source, n_chars from {documents} where doc_id % 13 = 2"""
+
+
 @query(
     "profile_table",
-    """select count(*) as row_count, cast(3 as bigint) as column_count,
-       count(*) - (select count(*) from (select distinct text, lang, n_chars from {documents}) d) as duplicate_rows,
-       cast(0 as bigint) as missing_cells from {documents}""",
+    f"""select (select count(*) from ({FAULTY}) a) as row_count,
+       (select count(*) from information_schema.columns where table_name = 'documents') as column_count,
+       (select count(*) from ({FAULTY}) a) - (select count(*) from (select distinct * from ({FAULTY}) b) d) as duplicate_rows,
+       (select cast(sum((text is null)::int + (source is null)::int) as bigint) from ({FAULTY}) c) as missing_cells""",
 )
 def _profile_table(spark, t):
-    return profile_table(t.documents.select("text", "lang", "n_chars"))
+    return profile_table(t.sql(FAULTY))
+
+
+@query(
+    "profile_topk_texts",
+    """select text as value, count(*) as n from {documents} where text is not null group by 1 order by n desc, value limit 10""",
+)
+def _profile_topk_texts(spark, t):
+    """The most frequent whole texts, from counters of bounded number in each task and an exact recount."""
+    return heavy_hitters(t.documents, "text", 10).rows
+
+
+MERGED = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+
+
+@query(
+    "profile_merged",
+    " union all ".join(
+        f"""select '{c}' as column_name, cast(4 as bigint) as runs, count(*) as row_count, count(*) - count({c}) as null_count,
+          count(distinct {c}) as distinct_count, true as distinct_within, true as median_within from {{lineitem}}"""
+        for c in MERGED
+    ),
+)
+def _profile_merged(spark, t):
+    """Four runs that were profiled one by one; the exact values say whether the merged estimates keep their errors."""
+    store = ProfileStore(spark, run_folder(spark, "profiles"))
+    rows = t.lineitem.select(*MERGED)
+    for run in range(4):
+        store.add(f"run{run}", rows.where(F.col("l_orderkey") % 4 == run))
+    store.add("run3", rows.where(F.col("l_orderkey") % 4 == 3))  # a repeated run replaces its own rows
+    merged = store.merged()
+    exact = value_stats(rows, MERGED).select("column_name", "distinct_count")
+    both = merged.join(exact, "column_name")
+    within = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.col("distinct_error") * F.col("distinct_count")
+    # The share of rows up to the estimated median, for numbers.
+    medians = {r["column_name"]: r["quantiles"][0] for r in merged.where("quantiles is not null").collect()}
+    ranks = rows.agg(
+        *[F.avg((F.col(c) < v).cast("double")).alias(f"{c}_below") for c, v in medians.items()],
+        *[F.avg((F.col(c) <= v).cast("double")).alias(f"{c}_upto") for c, v in medians.items()],
+    ).first()
+    fits = {c: ranks[f"{c}_below"] - RANK_ERROR <= 0.5 <= ranks[f"{c}_upto"] + RANK_ERROR for c in medians}
+    told = F.coalesce(F.create_map(*[F.lit(x) for item in fits.items() for x in item])[F.col("column_name")], F.lit(True))
+    return both.select(
+        "column_name", "runs", "row_count", "null_count", "distinct_count", within.alias("distinct_within"), told.alias("median_within")
+    )
 
 
 @query(

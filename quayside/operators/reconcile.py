@@ -39,24 +39,27 @@ def _flat(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [*out, F.concat(*[F.when(F.col(f"`{c}`").isNull(), "0").otherwise("1") for c in columns])]
 
 
+def row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two hashes of a row, ``_first`` and ``_second``."""
+    row = _flat(df, columns)
+    return [F.xxhash64(*row).alias("_first"), F.xxhash64(F.lit("second"), *row).alias("_second")]
+
+
+def hash_sums() -> list[Column]:
+    """``rows``, and sums of the halves of both hashes, so that two thousand million rows cannot overflow them."""
+    halves = [part for h in ("_first", "_second") for part in (F.shiftrightunsigned(h, 32), F.col(h).bitwiseAND(F.lit(_LOW)))]
+    return [F.count(F.lit(1)).alias("rows"), *[F.sum(half).alias(name) for half, name in zip(halves, SUMS)]]
+
+
 def _hashed(df: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
     """``df`` with ``_bucket`` of its keys and two hashes of the whole row."""
-    row = _flat(df, df.columns)
     bucket = F.shiftrightunsigned(F.xxhash64(*_flat(df, keys)), 64 - bits)
-    return df.select("*", bucket.alias("_bucket"), F.xxhash64(*row).alias("_first"), F.xxhash64(F.lit("second"), *row).alias("_second"))
+    return df.select("*", bucket.alias("_bucket"), *row_hashes(df, df.columns))
 
 
 def content_digest(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFrame:
-    """``bucket``, its ``rows`` and sums, for each of at most ``2 ** bits`` buckets of the keys.
-
-    Sums are of halves of hashes, so that a bucket of two thousand million rows cannot overflow them.
-    """
-    halves = [part for h in ("_first", "_second") for part in (F.shiftrightunsigned(h, 32), F.col(h).bitwiseAND(F.lit(_LOW)))]
-    return (
-        _hashed(df, keys, bits)
-        .groupBy(F.col("_bucket").alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("rows"), *[F.sum(half).alias(name) for half, name in zip(halves, SUMS)])
-    )
+    """``bucket``, its ``rows`` and sums, for each of at most ``2 ** bits`` buckets of the keys."""
+    return _hashed(df, keys, bits).groupBy(F.col("_bucket").alias("bucket")).agg(*hash_sums())
 
 
 def differing_buckets(source: DataFrame, destination: DataFrame, bits: int = BITS, step: int = STEP) -> DataFrame:
