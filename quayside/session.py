@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_TABLES: dict[int, tuple] = {}  # written tables by the frame that reads them
 
 # Binary literals of 16 bytes and more (token keys and their pads) never reach plan text or event logs.
 KEY_REDACTION = "(?i)(0x)?[0-9a-f]{32,}"
@@ -72,4 +74,15 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{run_folder(df.sparkSession, label)}/table"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _TABLES[id(table)] = (weakref.ref(table), path)
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that :func:`durable` gave, when nothing will read them any more."""
+    for table in tables:
+        known, path = _TABLES.pop(id(table), (lambda: None, None))
+        if known() is table:
+            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
