@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.components import components
 from quayside.llm.ngram_join import is_wanted, wanted_cells
-from quayside.llm.shingles import WordHashes, shingle_set
+from quayside.llm.shingles import BIT_WORDS, BITS, WordHashes, bits_allow, parity_bits, shingle_set
 from quayside.session import durable
 
 PERCENT = 80
@@ -49,7 +49,6 @@ WHOLE = KEPT * 100 // PERCENT  # sets up to this size are retained whole, so tha
 #: Run length, and the set sizes it is used for. Two sets of these sizes that link share a run of it.
 _LENGTHS = ((2, 4, 5), (3, 5, 20), (4, 16, WHOLE), (5, KEPT + 1, None))
 PARTNERS = 2  # classes that each class meets first
-BIT_WORDS = 8  # words of 64 parity bits
 ERROR = 1e-9  # chance that the estimate drops a pair that links
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -112,16 +111,9 @@ def may_link(a: np.ndarray, n: int, b: np.ndarray, m: int) -> tuple[bool, bool]:
     return shared >= _LEAST[min(union, len(_LEAST) - 1)], False
 
 
-BITS = [f"bits{k}" for k in range(BIT_WORDS)]
 ROWS = "id bigint, n bigint, set binary, sketch binary, " + ", ".join(f"{b} bigint" for b in BITS)
 
 
-def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """For each of 512 bins, whether it holds an odd number of the values."""
-    odd = np.bincount(((shingles * _MIX[4]) >> np.uint64(55)).astype(np.int64), minlength=64 * BIT_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8")
-
-
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -200,11 +192,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Neither sizes nor parity bits rule a link out: a union of which a fifth at most is not shared has few values that differ."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = sum(F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in BITS)
-    # |A - B| + |B - A| <= (100 - PERCENT) / (100 + PERCENT) * (n + m)
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * differ <= (100 - PERCENT) * (n + m))
+    return bits_allow(a, b, PERCENT)
 
 
 def _band() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import durable
+from quayside.session import durable, release
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     now = durable(links.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "links")
     seen = None
     for _ in range(rounds):
-        now = durable(_star(_star(now, True), False), "links")
+        before, now = now, durable(_star(_star(now, True), False), "links")
+        release(before)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return now.select(F.col("v"), F.col("u").alias("c"))

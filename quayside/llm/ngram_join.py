@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quayside.llm.components import components
-from quayside.llm.shingles import WordHashes, shingle_set
+from quayside.llm.shingles import BITS, WordHashes, bits_allow, parity_bits, shingle_set
 from quayside.session import durable
 
 #: Percent of the union that must be shared.
@@ -60,8 +60,11 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps, dtype=np.uint64), raw[8 * n :].view("<u2").astype(np.int64)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, str | None]]:
+def _texts(batches: Iterator[pa.RecordBatch], wanted: Callable[[object], bool] | None = None) -> Iterator[tuple[object, str | None]]:
+    """Ids and texts, of the wanted ids only if they are named."""
     for batch in batches:
+        if wanted is not None:
+            batch = batch.take(pa.array([i for i, key in enumerate(batch.column(0).to_pylist()) if wanted(key)], pa.int64()))
         ids = batch.column(0)
         for start in range(0, batch.num_rows, 512):
             part = batch.column(1).slice(start, 512).to_pylist()
@@ -184,7 +187,9 @@ def prefix_length(n: int) -> int:
 
 
 SIGNED = "<i8"
-PREFIX_SCHEMA = "id bigint, n bigint, set string, grouped string, tokens array<struct<token: bigint, place: int>>"
+PREFIX_SCHEMA = "id bigint, n bigint, set string, grouped string, tokens array<struct<token: bigint, place: int>>, " + ", ".join(
+    f"{b} bigint" for b in BITS
+)
 
 
 def _prefixes(known):
@@ -192,11 +197,11 @@ def _prefixes(known):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, freq = WordHashes(), known.value
-        rows: list[list] = [[], [], [], [], []]
+        rows: list[list] = [[], [], [], [], [], []]
         held = 0
 
         def out() -> pa.RecordBatch:
-            ids, ns, sets, groups, tokens = rows
+            ids, ns, sets, groups, tokens, bits = rows
             lengths = [len(t) for t, _ in tokens]
             both = pa.StructArray.from_arrays(
                 [
@@ -207,8 +212,11 @@ def _prefixes(known):
             )
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]).astype(np.int32)), both)
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(sets), pa.array(groups), lists],
-                ["id", "n", "set", "grouped", "tokens"],
+                [
+                    pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(sets), pa.array(groups), lists,
+                    *(pa.array(np.ascontiguousarray(word), pa.int64()) for word in np.array(bits).T),
+                ],
+                ["id", "n", "set", "grouped", "tokens", *BITS],
             )
 
         for key, text in _texts(batches):
@@ -221,13 +229,13 @@ def _prefixes(known):
             may = np.flatnonzero(freq.repeats(prefix)) if n else np.zeros(0, np.int64)
             for column, value in zip(
                 rows,
-                (key, n, xxhash.xxh3_128_hexdigest(s.tobytes()), xxhash.xxh3_128_hexdigest(prefix.tobytes() + n.to_bytes(8, "little")), (prefix[may], may)),
+                (key, n, xxhash.xxh3_128_hexdigest(s.tobytes()), xxhash.xxh3_128_hexdigest(prefix.tobytes() + n.to_bytes(8, "little")), (prefix[may], may), parity_bits(s)),
             ):
                 column.append(value)
             held += len(may)
             if held >= 200_000 or len(rows[0]) >= 4096:
                 yield out()
-                rows, held = [[], [], [], [], []], 0
+                rows, held = [[], [], [], [], [], []], 0
         if rows[0]:
             yield out()
 
@@ -252,16 +260,20 @@ def _long(data) -> np.ndarray:
 
 
 def _whole_sets(wanted):
-    """Sets of the rows that stand for a wanted class; a few others share a cell with one."""
+    """Sets of the rows whose id stands for a wanted class, each once for a task; a few others share a cell with one.
+
+    Rows are told by their id, before their text is looked at: only wanted ones are cut into shingles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, cells = WordHashes(), wanted.value
-        keys, data, held = [], [], 0
-        for key, text in _texts(batches):
+        keys, data, held, seen = [], [], 0, set()
+        for key, text in _texts(batches, lambda key: is_wanted(cells, str(key))):
             found = shingle_set(text, hashes)
-            digest = xxhash.xxh3_128_hexdigest(found.tobytes())
-            if len(found) and is_wanted(cells, f"{digest}:{key}"):
-                keys.append(_class_number(digest))
+            number = _class_number(xxhash.xxh3_128_hexdigest(found.tobytes()))
+            if len(found) and number not in seen:
+                seen.add(number)
+                keys.append(number)
                 data.append(_short(found))
                 held += len(data[-1])
                 if held > 4_000_000:
@@ -394,8 +406,18 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     full = rows.where(F.col("n") > 0)
     groups = full.groupBy(F.xxhash64("grouped").alias("g")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     classes = durable(
-        full.groupBy("set").agg(F.min("id").alias("id"), F.first(F.xxhash64("grouped")).alias("g")).withColumn("c", number), "classes"
+        full.groupBy("set")
+        .agg(F.min("id").alias("id"), F.first(F.xxhash64("grouped")).alias("g"), *[F.first(c).alias(c) for c in ("n", *BITS)])
+        .withColumn("c", number),
+        "classes",
     )
+    sizes_and_bits = classes.select("c", F.struct("n", *BITS).alias("end"))
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs that neither sizes nor parity bits rule out; whole sets are fetched for those alone."""
+        ends = pairs.join(sizes_and_bits.toDF("x", "a"), "x").join(sizes_and_bits.toDF("y", "b"), "y")
+        return ends.where(bits_allow("a", "b", PERCENT)).select("x", "y")
+
     heads = classes.groupBy("g").agg(F.min("c").alias("c"), F.count(F.lit(1)).alias("members"))
     postings = durable(
         groups.select("g", "n", F.explode("tokens").alias("t")).select("t.token", "t.place", "n", "g"), "postings"
@@ -405,7 +427,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("x").alias("c")).union(pairs.select(F.col("y").alias("c"))).distinct()
         wanted = spark.sparkContext.broadcast(
-            wanted_cells(classes.join(ends, "c").select(F.concat_ws(":", "set", F.coalesce(F.col("id").cast("string"), F.lit("None")))))
+            wanted_cells(classes.join(ends, "c").select(F.coalesce(F.col("id").cast("string"), F.lit("None"))))
         )
         sets = durable(ids.mapInArrow(_whole_sets(wanted), SETS_SCHEMA), "sets")
         met = pairs.join(sets.select(F.col("c").alias("y"), F.col("shingles").alias("b")), "y").join(
@@ -424,7 +446,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .union(member.toDF("g", "y").join(head, "g").where(F.col("x") != F.col("y")).select("x", "y"))
     )
     first = durable(stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
-    links = verified(first)
+    links = verified(durable(likely(first), "likely"))
     reached = components(links)
 
     def labelled(reached: DataFrame) -> DataFrame:
@@ -446,6 +468,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .join(first, ["x", "y"], "left_anti")
     )
     rest = durable(rest, "pairs")
+    rest = durable(likely(rest), "likely")
     more_links = None if rest.isEmpty() else verified(rest)
     if more_links is not None and not more_links.isEmpty():
         now = durable(labelled(components(links.union(more_links))), "labels")

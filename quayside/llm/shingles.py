@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SHINGLE = 5
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -47,3 +49,26 @@ def shingle_set(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np
     total *= _MIX[3]
     total ^= total >> np.uint64(29)
     return np.unique(total)
+
+
+BIT_WORDS = 8
+#: Columns of parity bits: 512 bins, dealt into words of 64.
+BITS = [f"bits{k}" for k in range(BIT_WORDS)]
+_DEAL = np.uint64(0xA0761D6478BD642F)
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """For each of 512 bins, whether it holds an odd number of the values of a set.
+
+    Two sets differ in at least as many values as their bits differ, so bits can rule a link out, never miss one.
+    """
+    odd = np.bincount(((shingles * _DEAL) >> np.uint64(55)).astype(np.int64), minlength=64 * BIT_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+def bits_allow(a: str, b: str, percent: int) -> Column:
+    """Whether structs ``a`` and ``b`` with a size ``n`` and parity bits may be of sets that share ``percent`` of their union."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = sum(F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in BITS)
+    # |A - B| + |B - A| <= (100 - percent) / (100 + percent) * (n + m)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
