@@ -11,37 +11,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import decontaminate, ngram_join, quality_rules, secret_scan, sentencepiece_topk
+from quayside.llm.exprs import fresh, numbered
 from quayside.llm.queries import TOKENIZERS, table
 from quayside.session import durable
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule rejects go."""
-    judged = quality_rules.apply_rules(docs, out="_quality")
-    return judged.where(F.col("_quality.kept")).select(*docs.columns)
+    name = fresh(docs, "quality")
+    judged = quality_rules.apply_rules(docs, out=name)
+    return judged.where(F.col(f"{name}.kept")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays, and of rows with that id one.
+    """Of each group of linked documents one row stays: that with the least id, and of equal ids the first one read.
 
-    Documents without words are linked with nothing and stay, and so do rows without an id.
+    Rows are told apart by a number of their own, so neither repeated nor missing ids blur a decision;
+    a row without an id stays only where no row of its group has one. Documents without words are
+    linked with nothing and stay.
     """
-    labels = ngram_join.similar_components(docs)
-    heads = labels.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(heads, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    row = fresh(docs, "row")
+    rows = numbered(docs, row)
+    labels = ngram_join.similar_components(rows, doc_id=row)
+    named = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row")).alias("order"))
+    first = labels.select(row, "component_id").join(named, row).groupBy("component_id").agg(F.min("order").alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return decontaminate.without_leaks(docs, leaks)
+    """Documents that hold a benchmark item go, whether they have an id or not."""
+    row = fresh(docs, "row")
+    rows = numbered(docs, row)
+    leaks = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"), doc_id=row)
+    return decontaminate.without_leaks(rows, leaks, doc_id=row).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are cut out of the texts; ``n_chars`` follows the text."""
-    found, _ = secret_scan.scan_versions(docs, secret_scan.empty_ledger(spark), out="_findings")
-    text = secret_scan.redact(F.col("text"), F.col("_findings"))
+    name = fresh(docs, "findings")
+    found, _ = secret_scan.scan_versions(docs, secret_scan.empty_ledger(spark), out=name)
+    text = secret_scan.redact(F.col("text"), F.col(name))
     return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -28,7 +28,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.exprs import ascii_lower, word_array
+from quayside.llm.exprs import ascii_lower, let, word_array
 from quayside.session import durable
 
 SHINGLE = 5
@@ -65,14 +65,22 @@ def simhash(shingles: Column) -> Column:
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard: shared occurrences over all occurrences.
+    """Weighted Jaccard of two arrays of shingle hashes: shared occurrences over all occurrences.
 
-    Both sides are sorted arrays of shingle hashes; the distinct ones of both are counted on each.
+    Each distinct shingle that both have counts once, and then its further occurrences on both sides:
+    those are found next to their like in sorted order, so the work grows with the arrays' length, but for
+    texts that repeat many different shingles.
     """
-    both = F.array_distinct(F.concat(a, b))
-    times = lambda side, h: F.size(F.filter(side, lambda x: x == h))
-    shared = F.aggregate(both, F.lit(0), lambda acc, h: acc + F.least(times(a, h), times(b, h)))
-    return shared.cast("double") / (F.size(a) + F.size(b) - shared)
+
+    def again(side: Column) -> Column:
+        return let(F.array_sort(side), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))
+
+    def further(x: Column, y: Column) -> Column:
+        times = lambda side, h: F.size(F.filter(side, lambda v: v == h))
+        return F.aggregate(F.array_intersect(x, y), F.lit(0), lambda acc, h: acc + F.least(times(x, h), times(y, h)))
+
+    shared = F.size(F.array_intersect(a, b)) + let(again(a), lambda x: let(again(b), lambda y: further(x, y)))
+    return let(shared, lambda n: n.cast("double") / (F.size(a) + F.size(b) - n))
 
 
 def block_masks(bits: int, distance: int) -> list[int]:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.session import durable
+
 #: A word is a run of anything but these blanks.
 BLANKS = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -33,3 +36,18 @@ def fresh(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number that no other row has, the same one wherever the rows are read.
+
+    Rows of files are told by their file and place, so nothing is written; other rows are written once.
+    """
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias(f"{name}_file"), F.col("_metadata.row_index").alias(f"{name}_place"))
+    except AnalysisException:
+        return durable(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    paths = sorted(r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect())  # names of files, no rows
+    files = df.sparkSession.createDataFrame([(p, n) for n, p in enumerate(paths)], f"`{name}_file` string, `{name}_at` long")
+    both = placed.join(files, f"{name}_file")
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft(f"{name}_at", 40) + F.col(f"{name}_place")).alias(name))
