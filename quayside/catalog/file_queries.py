@@ -345,13 +345,13 @@ def _sink_manifest(spark, t):
     """The rows of a write as its committed files tell them, and whether they hold what the source does."""
     path = f"{run_folder(spark, 'manifest')}/zone"
     manifest = write_with_manifest(t.orders, path, "csv")
-    told = manifest.agg(*[F.sum(c).alias(c) for c in ("rows", *SUMS)])
-    own = t.orders.select(*row_hashes(t.orders, t.orders.columns)).agg(*hash_sums())
-    same = told.selectExpr(f"struct({', '.join(SUMS)}) as a", "rows as manifest_rows").join(
-        own.selectExpr(f"struct({', '.join(SUMS)}) as b", "rows as source_rows"), F.lit(True)
-    )
+    sums = F.struct(*SUMS).alias("sums")
+    told = manifest.agg(*[F.sum(c).alias(c) for c in ("rows", *SUMS)]).select(F.lit("manifest").alias("side"), "rows", sums)
+    own = t.orders.select(*row_hashes(t.orders, t.orders.columns)).agg(*hash_sums()).select(F.lit("source").alias("side"), "rows", sums)
     changed = check_manifest(spark, path, t.orders.schema, "csv").count()
-    return same.select("manifest_rows", "source_rows", (F.col("a") == F.col("b")).alias("same_content"), F.lit(changed).cast("bigint").alias("changed_files"))
+    rows = lambda side: F.max(F.when(F.col("side") == side, F.col("rows"))).alias(f"{side}_rows")
+    same = (F.count_distinct("sums") == 1).alias("same_content")
+    return told.unionByName(own).agg(rows("manifest"), rows("source"), same, F.lit(changed).cast("bigint").alias("changed_files"))
 
 
 @query(
