@@ -30,6 +30,10 @@ def char_grams(word: str, sizes: Iterable[int] = (3, 4)) -> list[str]:
     return [marked[i : i + n] for n in sizes for i in range(max(len(marked) - n + 1, 1))]
 
 
+#: Grades that a rating may have; a rating with more is refused, never cut.
+MOST_GRADES = 16
+
+
 def held_out(doc_id: Column) -> Column:
     """A third of the ids, by checksum: their labels are never learnt."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
@@ -46,7 +50,9 @@ def training_rows(
     """
     key = F.col(doc_id)
     rated = labels.where(~held_out(key)).select(key.alias("id"), grade.alias("grade")).where("grade is not null").distinct()
-    grades = sorted(r["grade"] for r in rated.select("grade").distinct().limit(16).collect())
+    grades = sorted(r["grade"] for r in rated.select("grade").distinct().limit(MOST_GRADES + 1).collect())
+    if len(grades) > MOST_GRADES:
+        raise ValueError(f"more than {MOST_GRADES} different grades")
     short = docs.where(F.length(text) <= longest).select(key.alias("id"), F.col(text).alias("text"))
     order = [F.xxhash64("id"), F.col("id"), F.col("grade")]
     out = []

@@ -55,7 +55,13 @@ BASE_RULES = (
 )
 MORE_RULES = (
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", shortest=40, hint="eyJ"),
-    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hint="PRIVATE KEY-----"),
+    # From the first line to the last, or, where the last is missing, to the text's end. Bodies hold no
+    # hyphens, header lines before them few; the number of such pieces is bounded for the matcher's stack.
+    SecretRule(
+        "private_key",
+        r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----[^-]*(?:-{1,4}[^-]+){0,20}(?:-----END [A-Z0-9 ]*PRIVATE KEY-----)?",
+        hint="PRIVATE KEY-----",
+    ),
     SecretRule("hosted_token", r"gh[pousr]_[A-Za-z0-9]+", shortest=40, hint="gh"),
 )
 RULES = BASE_RULES + MORE_RULES
