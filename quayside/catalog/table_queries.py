@@ -66,11 +66,10 @@ def _tokenize_surrogate(spark, t):
 
 @query(
     "tokenize_surrogate_skewed",
-    """select l_orderkey, l_linenumber, l_partkey, dense_rank() over (order by l_returnflag) as returnflag_id,
-       l_shipdate from {lineitem}""",
+    "select * exclude (l_returnflag), dense_rank() over (order by l_returnflag) as returnflag_id from {lineitem}",
 )
 def _tokenize_skewed(spark, t):
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate")
+    rows = t.lineitem
     known = SurrogateMap(spark, run_folder(spark, "surrogates"))
     return known.attach(rows, "l_returnflag", "returnflag_id").drop("l_returnflag")
 
@@ -335,6 +334,34 @@ def _profile_quantiles_approx(spark, t):
     return profile_quantiles(t.lineitem, numeric, PROBS, exact=False)
 
 
+@query(
+    "profile_estimates",
+    " union all ".join(
+        f"select '{c}' as column_name, count(*) as row_count, count(distinct {c}) as distinct_count, true as distinct_within, "
+        f"true as quantiles_within from {{lineitem}}"
+        for c in NUMERIC
+    ),
+)
+def _profile_estimates(spark, t):
+    """What the estimated profiles say of every numeric column, held against the exact values: within 15 %, and within 1 % of the ranks."""
+    rows = t.lineitem.select(*NUMERIC)
+    guessed = profile_columns(rows, exact=False).select("column_name", "row_count", F.col("distinct_count").alias("guess"))
+    exact = value_stats(rows, NUMERIC).select("column_name", "distinct_count")
+    found = profile_quantiles(rows, NUMERIC, PROBS, exact=False).collect()
+    spots = rows.agg(
+        *[F.avg((F.col(r["column_name"]) < r["quantile"]).cast("double")).alias(f"below{at}") for at, r in enumerate(found)],
+        *[F.avg((F.col(r["column_name"]) <= r["quantile"]).cast("double")).alias(f"upto{at}") for at, r in enumerate(found)],
+    ).first()
+    fits = dict.fromkeys(NUMERIC, True)
+    for at, r in enumerate(found):
+        fits[r["column_name"]] &= spots[f"below{at}"] - 0.01 <= r["prob"] <= spots[f"upto{at}"] + 0.01
+    told = F.create_map(*[F.lit(x) for item in fits.items() for x in item])[F.col("column_name")]
+    near = F.abs(F.col("guess") - F.col("distinct_count")) <= 0.15 * F.col("distinct_count")
+    return guessed.join(exact, "column_name").select(
+        "column_name", "row_count", "distinct_count", near.alias("distinct_within"), told.alias("quantiles_within")
+    )
+
+
 @query(
     "profile_histogram",
     """

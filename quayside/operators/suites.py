@@ -67,6 +67,8 @@ def from_nested(suite: Mapping) -> Iterator[Expectation]:
             if isinstance(item, str):
                 follows = columns[at + 1] if at + 1 < len(columns) else None
                 yield Expectation(_named(name), item, tuple(follows) if isinstance(follows, list) else ())
+            elif not (isinstance(item, list) and at and isinstance(columns[at - 1], str)):
+                yield Expectation(_named(name), error=f"entry {at + 1} of columns is neither a name nor the bounds behind one")
 
 
 def read_suite(suite) -> list[Expectation]:

@@ -47,6 +47,14 @@ def test_suites_that_hold_lists_and_nested_checks():
     assert got == [("expect_column_to_exist", "a", False), ("expect_column_max_to_be_between", "b", False), ("odd", None, True)]
 
 
+def test_entries_that_are_no_columns_give_a_row(spark):
+    suite = {"column_max_to_be_between": {"columns": ["b", [1, 2], [3, 4], 5]}}
+    got = read_suite(json.dumps(suite))
+    assert [(e.column, e.error is not None) for e in got] == [("b", False), (None, True), (None, True)]
+    failed = run_suite(spark.sql("select 1 as b"), json.dumps(suite)).collect()
+    assert [r["success"] for r in failed].count(False) == 2
+
+
 def test_dates_within_text_bounds(spark):
     rows = spark.sql("select date '2024-01-02' as d")
     assert run_suite(rows, ["expect_column_max_to_be_between('d', '2024-01-01', '2024-02-01')"]).first()["success"] is True
