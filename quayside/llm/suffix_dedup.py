@@ -85,6 +85,12 @@ def anchor_values(names: np.ndarray) -> np.ndarray:
     return _sliding(names, WIDTH, np.minimum) if len(names) >= WIDTH else _NONE
 
 
+def spread(names: np.ndarray) -> np.ndarray:
+    """Names one to one onto all 64-bit numbers: least names lie near 0, and ranges and cells are cut from the top."""
+    names = (names ^ (names >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return (names ^ (names >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def _anchor_keys() -> Callable[[str | None], np.ndarray]:
     def keys(text: str | None) -> np.ndarray:
         names = half_names((text or "").encode("utf-8", "surrogatepass"))
@@ -95,7 +101,7 @@ def _anchor_keys() -> Callable[[str | None], np.ndarray]:
         # those windows' least names is then its own.
         room = np.zeros(WIDTH - 1, np.uint64)
         highest = _sliding(np.concatenate([room, least, room]), WIDTH, np.maximum)
-        return names[highest == names]
+        return spread(names[highest == names])
 
     return keys
 
@@ -133,12 +139,13 @@ def _found(batches: Iterator[pa.RecordBatch], freq: Frequencies):
         edges = np.flatnonzero(least[1:] != least[:-1]) + 1
         first, last = np.append(0, edges), np.append(edges, len(least))
         values = least[first]
-        kept = np.flatnonzero(freq.repeats(values))
+        even = spread(values)
+        kept = np.flatnonzero(freq.repeats(even))
         if not len(kept):
             continue
         doc, twice = NO_ID if key is None else key, _periodic(names, least)
-        for v, a, b in zip(values[kept].tolist(), first[kept].tolist(), last[kept].tolist()):
-            yield doc, v, v in twice, a, b, data[a : b + LENGTH - 1]
+        for v, name, a, b in zip(values[kept].tolist(), even[kept].tolist(), first[kept].tolist(), last[kept].tolist()):
+            yield doc, name, v in twice, a, b, data[a : b + LENGTH - 1]
 
 
 def _stretches(known, range_bits: int):
