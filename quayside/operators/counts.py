@@ -63,7 +63,9 @@ def _with_parity(cells: DataFrame, bits: str, out: str) -> DataFrame:
     return cells
 
 
-def csv_quoted_counts(spark: SparkSession, path: str, glob: str = "*.csv", escape: str = "\\", header: bool = True) -> DataFrame:
+def csv_quoted_counts(
+    spark: SparkSession, path: str, glob: str = "*.csv", escape: str = "\\", header: bool = True, sep: str = ","
+) -> DataFrame:
     """``file_path, records, line_count`` of each CSV file, with quoted line ends inside records, over split files.
 
     A record ends at a line end behind which the number of quotes is even. Each task packs two bits
@@ -72,16 +74,19 @@ def csv_quoted_counts(spark: SparkSession, path: str, glob: str = "*.csv", escap
     of a file block, and over the blocks of a file: no file is read by one task as ``multiLine`` needs it,
     and no window sees more than a block's numbers or a file's blocks.
 
-    Quotes are taken to stand only around values; ``escape`` in front of a character takes its meaning,
-    or, if it is the quote itself, quotes are doubled inside values. Empty lines outside quotes are no records, nor
-    is each file's header.
+    Quotes that count stand at the beginning or the end of a value, next to ``sep`` or the line's end: one inside
+    an unquoted value is a character like others. ``escape`` in front of a character takes its meaning,
+    and two quotes in a row are one inside a value. Empty lines outside quotes are no records, nor is each
+    file's header.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
         .select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
     )
-    bare = F.col("value") if escape == '"' else F.regexp_replace("value", f"\\{escape}.", "")
-    odd = F.length(bare).cast("long") - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    pairs = '""' if escape == '"' else f'\\{escape}.|""'
+    near = f"(?:^|\\Q{sep}\\E)\"|\"(?=\\Q{sep}\\E|\\r?$)"
+    bare = F.regexp_replace("value", pairs, "")
+    odd = F.when(F.contains("value", F.lit('"')), F.regexp_count(bare, F.lit(near))).otherwise(F.lit(0)).cast("long")
     row = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
     bit = F.lit(1).cast("long")
     place = F.pmod(row, F.lit(_CELL)).cast("int")

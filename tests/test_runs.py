@@ -51,6 +51,13 @@ def test_quotes_that_are_escaped_or_never_closed(spark, folder):
     assert csv_quoted_counts(spark, folder).first()["records"] == 3
 
 
+def test_quotes_inside_unquoted_values(spark, folder):
+    with open(f"{folder}/a.csv", "w") as out:
+        out.write('a,b\n5" pipe,x\n1,"6"" pipe\nsecond line"\nit"s,"""quoted"" start"\n2,""\n"",3\n"end\n","\n,x"\n')
+    assert csv_quoted_counts(spark, folder).first()["records"] == 6
+    assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(folder).count() == 6
+
+
 def test_no_window_sees_lines(spark, folder):
     """Lines are packed before anything is shuffled: rows that leave the scan's tasks are cells."""
     sink_csv(spark.range(20_000).withColumn("t", F.lit("x")).coalesce(1), folder)
