@@ -45,6 +45,7 @@ from quayside.operators.surrogates import SurrogateMap
 from quayside.operators.tokenize import apply_template
 from quayside.plans.manifest import RunManifest
 from quayside.plans.stages import stages_for
+from quayside.session import together
 from quayside.sinks.audit_log import append_audit
 from quayside.sinks.files import sink_format, sink_partitioned
 from quayside.sinks.state import StateTable, store_watermark
@@ -197,18 +198,17 @@ def _parse(spark: SparkSession, config: RunConfig, landing: str, copy: str) -> d
         # Read once as it was before, for its check of the header's order.
         scan_csv(spark, config.source_path, schema, **options).take(1)
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    scan_csv(spark, config.source_path, schema, keep_corrupt=True, **options).write.mode("overwrite").parquet(copy)
+    source = scan_csv(spark, config.source_path, schema, keep_corrupt=True, **options)
+    _, lines = together(
+        lambda: source.write.mode("overwrite").parquet(copy),
+        lambda: scalar_first(count_csv_quoted(spark, config.source_path)),
+    )
     parsed = spark.read.schema(StructType([*schema.fields]).add(CORRUPT_COLUMN, "string")).parquet(copy)
     broken = parsed.where(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("value"))
-    rejected = broken.count()
+    rows, rejected = parsed.agg(F.count(F.lit(1)), F.count(CORRUPT_COLUMN)).first()
     if rejected:
         broken.write.mode("overwrite").text(f"{landing}_rejected")
-    return {
-        "schema": schema.json(),
-        "rejected": rejected,
-        "parsed": parsed.count(),
-        "lines": scalar_first(count_csv_quoted(spark, config.source_path)),
-    }
+    return {"schema": schema.json(), "rejected": rejected, "parsed": rows, "lines": lines}
 
 
 def _stored_value(spark: SparkSession, config: RunConfig) -> str | None:
@@ -247,8 +247,10 @@ def _select(spark: SparkSession, config: RunConfig, parsed: DataFrame, path: str
 
 
 def _reports(checked: DataFrame, config: RunConfig, path: str) -> dict:
-    run_suite(checked, config.suite).write.mode("overwrite").parquet(f"{path}/checks")
-    profile_columns(checked).write.mode("overwrite").parquet(f"{path}/profile")
+    together(
+        lambda: run_suite(checked, config.suite).write.mode("overwrite").parquet(f"{path}/checks"),
+        lambda: profile_columns(checked).write.mode("overwrite").parquet(f"{path}/profile"),
+    )
     return {"checks": f"{path}/checks", "profile": f"{path}/profile"}
 
 
@@ -326,20 +328,22 @@ def _land(
 
     if runs and config.record_states:
         append_audit(record("running"), config.audit_path, RECORD_IDENTITY)
-    wrote = manifest.stage("land", lambda: {"rows": _write(wanted, landing, config)})["rows"]
-    kept = wrote
-    checked = wanted
-    if tokenizes:
 
-        def protect() -> dict:
-            protected = apply_template(wanted, config.template, key, surrogates)
-            if checks:
-                # Read several times from here on, most of it a few columns.
-                protected.write.mode("overwrite").parquet(f"{work}/protected")
-                protected = spark.read.schema(protected.schema).parquet(f"{work}/protected")
-            return {"rows": _write(protected, secured, config)}
+    def protect() -> dict:
+        protected = apply_template(wanted, config.template, key, surrogates)
+        if checks:
+            # Read several times from here on, most of it a few columns.
+            protected.write.mode("overwrite").parquet(f"{work}/protected")
+            protected = spark.read.schema(protected.schema).parquet(f"{work}/protected")
+        return {"rows": _write(protected, secured, config)}
 
-        kept = manifest.stage("protect", protect)["rows"]
+    zones = [lambda: manifest.stage("land", lambda: {"rows": _write(wanted, landing, config)})["rows"]]
+    if tokenizes:
+        zones.append(lambda: manifest.stage("protect", protect)["rows"])
+    wrote, *others = together(*zones)
+    kept = others[0] if others else wrote
+    checked = wanted
+    if tokenizes:
         checked = spark.read.parquet(f"{work}/protected") if checks and runs else None
     if checks:
         manifest.stage("check", lambda: _reports(checked, config, reports))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,3 +88,12 @@ def release(*tables: DataFrame) -> None:
         if known() is table:
             folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def together(*works: Callable[[], object]) -> list:
+    """What the works give, run side by side: Spark jobs that do not wait for each other fill gaps of small stages.
+
+    All of them end before this does; the first error is raised.
+    """
+    with ThreadPoolExecutor(len(works)) as pool:
+        return [future.result() for future in [pool.submit(work) for work in works]]

@@ -34,6 +34,10 @@ def _apply(live: dict[str, str], body: dict) -> dict[str, str]:
     return live
 
 
+def _days(records: DataFrame) -> dict[str, int]:
+    return {r[DAY] or NO_DAY: r["count"] for r in records.groupBy(DAY).count().collect()}
+
+
 class AuditLog:
     """The audit table under one folder."""
 
@@ -100,16 +104,16 @@ class AuditLog:
         while True:
             newest = self.commits.newest()
             # The days of one call are as many as the dates of its runs.
-            days = [r[0] or NO_DAY for r in fresh.select(DAY).distinct().collect()]
-            known = self.files(days, after=seen) if newest > seen else []
+            days = _days(fresh)
+            known = self.files(list(days), after=seen) if newest > seen else []
             if known:
                 stored = self._read(known).select(RECORD_ID)
                 fresh = durable(fresh.join(stored, RECORD_ID, "left_anti"), "audit")
-                days = [r[0] or NO_DAY for r in fresh.select(DAY).distinct().collect()]
+                days = _days(fresh)
             if not days:
                 return 0
-            count = fresh.count()
-            added = self._write(fresh, days)
+            count = sum(days.values())
+            added = self._write(fresh, list(days))
             if self._commit(newest + 1, {"add": added, "records": count}):
                 return count
             seen = newest  # another writer was first: look at what it stored, then try again
