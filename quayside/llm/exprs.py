@@ -13,6 +13,7 @@ from quayside.session import durable
 #: A word is a run of anything but these blanks.
 BLANKS = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
+MOST_FILES = 50_000  # file names that are broadcast, some 5 MB
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -49,5 +50,6 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
         return durable(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
     paths = sorted(r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect())  # names of files, no rows
     files = df.sparkSession.createDataFrame([(p, n) for n, p in enumerate(paths)], f"`{name}_file` string, `{name}_at` long")
-    both = placed.join(files, f"{name}_file")
+    # A row for each file, broadcast while there are few, so that rows are numbered where they are read.
+    both = placed.join(F.broadcast(files) if len(paths) <= MOST_FILES else files, f"{name}_file")
     return both.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft(f"{name}_at", 40) + F.col(f"{name}_place")).alias(name))
