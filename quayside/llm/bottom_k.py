@@ -298,7 +298,11 @@ class Classes:
             more = self.linked(rest)
             if not more.isEmpty():
                 links = links.union(more)
-                roots = self._roots(links)
+                # Components of components: a small graph, which settles in few rounds.
+                ends = roots.toDF("u", "x"), roots.toDF("v", "y")
+                between = more.join(ends[0], "u").join(ends[1], "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
+                under = components(between).select(F.col("v").alias("root"), F.col("c").alias("top"))
+                roots = roots.join(under, "root", "left").select("c", F.coalesce("top", "root").alias("root"))
         return links, roots
 
 
