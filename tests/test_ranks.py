@@ -56,3 +56,14 @@ def test_nothing_but_counts_is_shuffled(spark):
     plan = state.count_ranges()._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Sort" not in plan and "rangepartitioning" not in plan
     assert state.count_ranges().count() <= ranks.RANGES
+
+
+def test_products_past_64_bits_have_ranks(spark, folder):
+    from quayside.catalog import QUERIES
+
+    keys = [1, 9_324, 19_999, 120_000, 1_200_000]
+    rows = [(k, k, 1, 100.25) for k in keys]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber long, l_extendedprice double").write.parquet(f"{folder}/lineitem.parquet")
+    found = QUERIES["profile_ranks"](spark, folder).where("column_name = 'spread'").collect()
+    spread = [str((k - 100) * 10**15) for k in keys]
+    assert found and all(r["below"] == spread[math.floor(r["prob"] * 4)] and r["above"] == spread[math.ceil(r["prob"] * 4)] for r in found)
