@@ -7,24 +7,31 @@ an older list until ``vacuum`` removes them.
 
 What tells records apart is given by whoever records: a run or attempt id. Content cannot be the
 identity, since equal records of two runs are two records.
+
+A batch is written to its place once, and whether it may stay is asked of its keys alone: whole records
+are moved only where some of them must go.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quayside.session import durable
+from quayside.session import durable, release
 from quayside.sinks.commits import CommitLog
 
-RECORD_ID = "record_id"
+RECORD_KEY = "record_key"  # half of the identity's digest
+RECORD_ID = "record_id"  # the whole digest as text, in tables of before
 DAY = "record_date"
 BATCH = "record_batch"
 NO_DAY = "none"
 LIST_EVERY = 50  # every so many commits one holds the whole list, so that readers open no more than that
+CODEC = "zstd"
 
 
 def _apply(live: dict[str, str], body: dict) -> dict[str, str]:
@@ -34,8 +41,18 @@ def _apply(live: dict[str, str], body: dict) -> dict[str, str]:
     return live
 
 
-def _days(records: DataFrame) -> dict[str, int]:
-    return {r[DAY] or NO_DAY: r["count"] for r in records.groupBy(DAY).count().collect()}
+def _key_of(digest: Column) -> Column:
+    return F.unhex(F.substring(digest, 1, 32))
+
+
+def _sums(keys: DataFrame, by: str) -> dict[str, tuple[int, ...]]:
+    """What tells sets of keys apart without moving them: how many they are, and two sums of 64-bit hashes."""
+    sums = [F.sum(F.xxhash64(F.lit(seed), RECORD_KEY).cast("decimal(20,0)")) for seed in (0, 1)]
+    return {name: tuple(map(int, told)) for name, *told in keys.groupBy(by).agg(F.count(F.lit(1)), *sums).collect()}
+
+
+def _total(sums: Iterable[tuple[int, ...]]) -> tuple[int, ...]:
+    return tuple(map(sum, zip(*sums)))
 
 
 class AuditLog:
@@ -74,14 +91,26 @@ class AuditLog:
         files = self.files()
         if not files:
             raise LookupError(f"no audit records under {self.path}")
-        return self._read(files).drop(RECORD_ID)
+        return self._read(files).drop(RECORD_KEY, RECORD_ID)
 
-    def _write(self, records: DataFrame, days: Sequence[str]) -> dict[str, str]:
-        """One folder for each day of a new batch; gives the folders with their days."""
-        batch = str(uuid.uuid4())
+    def _write(self, records: DataFrame, batch: str) -> dict[str, str]:
+        """One folder of the new batch for each day; gives the folders with their days."""
         placed = records.withColumns({DAY: F.coalesce(F.col(DAY), F.lit(NO_DAY)), BATCH: F.lit(batch)})
-        placed.write.mode("append").partitionBy(DAY, BATCH).parquet(self.path)
-        return {f"{DAY}={day}/{BATCH}={batch}": day for day in days}
+        placed.write.mode("append").option("compression", CODEC).partitionBy(DAY, BATCH).parquet(self.path)
+        names = self.commits.folders(f"{self.path}/{DAY}=*/{BATCH}={batch}")
+        return {f"{day}/{BATCH}={batch}": unquote(day.partition("=")[2]) for day in (name.split("/")[-2] for name in names)}
+
+    def _batch(self, added: Sequence[str], schema: T.StructType) -> DataFrame:
+        """The records of a written batch, with their days."""
+        reader = self.spark.read.schema(schema).option("basePath", self.path)
+        return reader.parquet(*(f"{self.path}/{name}" for name in added)).select(*schema.names)
+
+    def _keys(self, files: Sequence[str]) -> DataFrame:
+        """``record_key, batch`` of stored records."""
+        found = self._read(files)
+        kinds = {RECORD_KEY: F.col(RECORD_KEY), RECORD_ID: _key_of(F.col(RECORD_ID))}
+        key = F.coalesce(*(kind for name, kind in kinds.items() if name in found.columns))
+        return found.select(key.alias(RECORD_KEY), F.regexp_extract("_metadata.file_path", f"{BATCH}=([^/]*)", 1).alias(BATCH))
 
     def append(self, records: DataFrame, identity: Sequence[str] | None = None, keep_identity: bool = True) -> int:
         """Store the records whose identity is new, each once, and say how many they were.
@@ -97,26 +126,48 @@ class AuditLog:
         digest = F.sha2(F.to_json(F.struct(*given), {"ignoreNullFields": "false"}), 256)
         day = F.col("ingestion_date").cast("string") if "ingestion_date" in records.columns else F.lit(None).cast("string")
         fields = [name for name in records.columns if keep_identity or name not in given]
-        named = records.select(digest.alias(RECORD_ID), day.alias(DAY), *fields)
-        # Fixed before it is looked at several times: input that is read twice could differ.
-        fresh = durable(named.dropDuplicates([RECORD_ID]), "audit")
+        named = records.select(_key_of(digest).alias(RECORD_KEY), F.coalesce(day, F.lit(NO_DAY)).alias(DAY), *fields)
+        known, stored = [], None
+        if self.commits.newest():
+            told = _sums(named.select(RECORD_KEY, DAY), DAY)
+            known = self.files(list(told))
+            if known:
+                stored = self._keys(known)
+                sums = list(_sums(stored, BATCH).values())
+                if _total(told.values()) in (*sums, _total(sums)):
+                    return 0  # the very records of a batch, or of these days
+        # From here on the written batch is asked: input that is read twice could differ.
+        added = self._write(named, str(uuid.uuid4()))
         seen = 0
-        while True:
+        while added:
             newest = self.commits.newest()
             # The days of one call are as many as the dates of its runs.
-            days = _days(fresh)
-            known = self.files(list(days), after=seen) if newest > seen else []
-            if known:
-                stored = self._read(known).select(RECORD_ID)
-                fresh = durable(fresh.join(stored, RECORD_ID, "left_anti"), "audit")
-                days = _days(fresh)
-            if not days:
-                return 0
-            count = sum(days.values())
-            added = self._write(fresh, list(days))
-            if self._commit(newest + 1, {"add": added, "records": count}):
+            files = self.files(sorted(set(added.values())), after=seen) if newest > seen else []
+            if files and files != known:
+                known, stored = files, self._keys(files)
+            batch = self._batch(added, named.schema)
+            added = self._without(batch, stored if files else None, added)
+            count = self._batch(added, named.schema).count() if added else 0
+            if added and self._commit(newest + 1, {"add": added, "records": count}):
                 return count
             seen = newest  # another writer was first: look at what it stored, then try again
+        return 0
+
+    def _without(self, batch: DataFrame, stored: DataFrame | None, added: dict[str, str]) -> dict[str, str]:
+        """The folders of a batch in which each identity stands once and none is stored already: the same where that holds."""
+        keys = batch.select(RECORD_KEY, F.lit(1).alias("new"))
+        if stored is not None:
+            keys = keys.union(stored.select(RECORD_KEY, F.lit(0)))
+        met = keys.groupBy(RECORD_KEY).agg(F.sum("new").alias("n"), (F.min("new") == 0).alias("known"))
+        odd = durable(met.where("n > 1 or (known and n > 0)").select(RECORD_KEY, "known"), "audit")
+        if not odd.isEmpty():
+            once = batch.join(odd.where("not known"), RECORD_KEY, "left_semi").dropDuplicates([RECORD_KEY])
+            rest = batch.join(odd, RECORD_KEY, "left_anti").unionByName(once)
+            old, added = added, self._write(rest, str(uuid.uuid4()))
+            for name in old:  # no commit names them
+                self.commits.delete(f"{self.path}/{name}")
+        release(odd)
+        return added
 
     def compact(self, day: str, files: int = 1) -> bool:
         """Swap the files of a day for as few as asked; False where another commit came in between."""
@@ -125,7 +176,7 @@ class AuditLog:
         if len(old) < 2:
             return True
         rows = self._read(old).withColumn(DAY, F.lit(day)).coalesce(files)
-        added = self._write(rows, [day])
+        added = self._write(rows, str(uuid.uuid4()))
         return self._commit(newest + 1, {"add": added, "remove": old})
 
     def vacuum(self) -> list[str]:

@@ -53,6 +53,9 @@ class CommitLog:
         """Bodies of all commits after a number, oldest first."""
         return [self.body(n) for n in range(after + 1, self.newest() + 1)]
 
+    def folders(self, pattern: str) -> list[str]:
+        return [status.getPath().toString() for status in self._files.globStatus(self._path(pattern)) or ()]
+
     def delete(self, name: str) -> bool:
         """Remove a folder that no commit needs any more."""
         return self._files.delete(self._path(name), True)

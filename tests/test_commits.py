@@ -118,3 +118,37 @@ def test_what_an_attempt_takes_over(spark, folder):
     assert attempt("x", "a", outcome="failed") == (4, False, ["a"])
     assert attempt("x", "a", "b", outcome="success") == (5, False, ["a", "b"])  # an ended attempt is no part of a new one
     assert attempt("x", "a", "b") == (5, True, [])  # ended well: nothing to do
+
+
+def test_a_repeated_append_writes_nothing_and_keys_alone_are_moved(spark, folder, monkeypatch):
+    log = AuditLog(spark, f"{folder}/audit")
+    assert log.append(_records(spark, [1, 2]), ["run"]) == 2 and log.append(_records(spark, [3]), ["run"]) == 1
+    wrote, write, tables, durable = [], log._write, [], audit_log.durable
+    monkeypatch.setattr(log, "_write", lambda *given: wrote.append(given) or write(*given))
+    monkeypatch.setattr(audit_log, "durable", lambda df, label: tables.append(df.columns) or durable(df, label))
+    for again in ([1, 2], [3], [3, 2, 1]):  # a batch, or all of the day
+        assert log.append(_records(spark, again), ["run"]) == 0 and not wrote
+    assert log.append(_records(spark, [4, 5]), ["run"]) == 2 and len(wrote) == 1
+    assert log.append(_records(spark, [3, 3, 6, 6, 7]), ["run"]) == 2
+    assert log.append(_records(spark, [1]), ["run"]) == 0  # part of a batch
+    assert sorted(r["run"] for r in log.read().collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert all(set(columns) == {audit_log.RECORD_KEY, "known"} for columns in tables)
+
+
+def test_odd_days_have_folders(spark, folder):
+    log = AuditLog(spark, f"{folder}/audit")
+    for _ in range(2):
+        log.append(_records(spark, [1], "2024/01/01 10:00").union(_records(spark, [2], "")).union(_records(spark, [3], None)), ["run"])
+    assert sorted(r["run"] for r in log.read().collect()) == [1, 2, 3]
+    assert log.append(_records(spark, [1, 4], "2024/01/01 10:00"), ["run"]) == 1
+
+
+def test_tables_with_whole_digests_are_known(spark, folder):
+    digest = F.sha2(F.to_json(F.struct("run"), {"ignoreNullFields": "false"}), 256)
+    name = f"{audit_log.DAY}=2024-01-01/{audit_log.BATCH}=old"
+    log = AuditLog(spark, f"{folder}/audit")
+    _records(spark, [1, 2], "2024-01-01").withColumn(audit_log.RECORD_ID, digest).write.parquet(f"{folder}/audit/{name}")
+    log.commits.commit(1, {"add": {name: "2024-01-01"}, "records": 2})
+    assert log.append(_records(spark, [2, 3], "2024-01-01"), ["run"]) == 1
+    assert log.append(_records(spark, [3, 1], "2024-01-01"), ["run"]) == 0
+    assert sorted(r["run"] for r in log.read().collect()) == [1, 2, 3]
