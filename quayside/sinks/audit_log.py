@@ -14,6 +14,7 @@ are moved only where some of them must go.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
@@ -31,6 +32,7 @@ DAY = "record_date"
 BATCH = "record_batch"
 NO_DAY = "none"
 LIST_EVERY = 50  # every so many commits one holds the whole list, so that readers open no more than that
+FILE_BYTES = 128 << 20  # what compaction puts into one file, and one task reads for it
 CODEC = "zstd"
 
 
@@ -169,12 +171,13 @@ class AuditLog:
         release(odd)
         return added
 
-    def compact(self, day: str, files: int = 1) -> bool:
-        """Swap the files of a day for as few as asked; False where another commit came in between."""
+    def compact(self, day: str, files: int | None = None) -> bool:
+        """Swap the files of a day for as few as asked, or as few as ``FILE_BYTES`` allows; False where another commit came in between."""
         newest = self.commits.newest()
         old = self.files([day])
         if len(old) < 2:
             return True
+        files = files or max(math.ceil(sum(self.commits.size(f"{self.path}/{name}") for name in old) / FILE_BYTES), 1)
         rows = self._read(old).withColumn(DAY, F.lit(day)).coalesce(files)
         added = self._write(rows, str(uuid.uuid4()))
         return self._commit(newest + 1, {"add": added, "remove": old})

@@ -56,6 +56,10 @@ class CommitLog:
     def folders(self, pattern: str) -> list[str]:
         return [status.getPath().toString() for status in self._files.globStatus(self._path(pattern)) or ()]
 
+    def size(self, name: str) -> int:
+        """Bytes of a folder's files."""
+        return self._files.getContentSummary(self._path(name)).getLength()
+
     def delete(self, name: str) -> bool:
         """Remove a folder that no commit needs any more."""
         return self._files.delete(self._path(name), True)

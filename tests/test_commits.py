@@ -152,3 +152,12 @@ def test_tables_with_whole_digests_are_known(spark, folder):
     assert log.append(_records(spark, [2, 3], "2024-01-01"), ["run"]) == 1
     assert log.append(_records(spark, [3, 1], "2024-01-01"), ["run"]) == 0
     assert sorted(r["run"] for r in log.read().collect()) == [1, 2, 3]
+
+
+def test_compaction_makes_files_of_bounded_size(spark, folder, monkeypatch):
+    monkeypatch.setattr(audit_log, "FILE_BYTES", 1500)
+    log = AuditLog(spark, f"{folder}/audit")
+    for i in range(4):
+        log.append(_records(spark, [i]), ["run"])
+    assert log.compact("2024-06-01") and len(log.files()) == 1
+    assert len(log.read().inputFiles()) > 1 and log.read().count() == 4
