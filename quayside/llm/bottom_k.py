@@ -230,17 +230,23 @@ def _open_pairs(lists: DataFrame, members: DataFrame, roots: DataFrame) -> DataF
 
     Of two classes in different components one at least is outside the list's largest, so only those
     are paired with the whole list: a list of one component costs nothing, one with few strangers little.
+    Near copies share dozens of lists, so a pair is made in the first list that both are in and nowhere else.
     """
     placed = lists.select("key", "c").join(roots, "c")
     parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    met = placed.join(mixed.select("key", F.col("top.root").alias("major")), "key").join(members, "c")
-    entry = F.struct("c", "root", "n", *BITS)
+    strange = placed.join(mixed.select("key", F.col("top.root").alias("major")), "key")
+    # A class has a hundred lists or so; an entry knows those before its own.
+    met = strange.join(strange.groupBy("c").agg(F.collect_list("key").alias("keys")), "c").join(members, "c")
+    outside = F.col("root") != F.col("major")
+    earlier = F.filter("keys", lambda key: key < F.col("key")).alias("earlier")
+    entry = F.struct("c", "root", "n", outside.alias("outside"), earlier, *BITS)
     all_of = met.select("key", "band", entry.alias("a"))
-    minor = met.where(F.col("root") != F.col("major")).select("key", _near_bands().alias("band"), entry.alias("b"))
-    apart = (F.col("a.root") != F.col("b.root")) & _may_link("a", "b")
-    both = all_of.join(minor, ["key", "band"]).where(apart)
-    return _ordered(both.select(F.col("a.c").alias("x"), F.col("b.c").alias("y")))
+    minor = met.where(outside).select("key", _near_bands().alias("band"), entry.alias("b"))
+    apart = (F.col("a.root") != F.col("b.root")) & (~F.col("a.outside") | (F.col("a.c") < F.col("b.c"))) & _may_link("a", "b")
+    first = ~F.arrays_overlap("a.earlier", "b.earlier")
+    both = all_of.join(minor, ["key", "band"]).where(apart & first)
+    return both.select(F.least("a.c", "b.c").alias("x"), F.greatest("a.c", "b.c").alias("y"))
 
 
 class Classes:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import bottom_k
 from quayside.llm.queries import QUERIES
@@ -126,3 +127,36 @@ def test_links_lie_between_classes_of_one_component(spark, corpus):
         a, b = (shingle_set(texts[x], WordHashes(), 2) for x in (u, v))
         shared = len(np.intersect1d(a, b))
         assert 100 * shared >= 80 * (len(a) + len(b) - shared)
+
+
+def test_an_open_pair_is_made_once(spark):
+    """Near copies share many lists; every pair that lists leave open comes back, and comes once."""
+    rng, words = random.Random(5), [f"w{i}" for i in range(4000)]
+    rows = []
+    for base in range(3):
+        whole = [rng.choice(words) for _ in range(200)]
+        for copy in range(12):
+            text = list(whole)
+            for at in rng.sample(range(200), 4 + 2 * copy):
+                text[at] = rng.choice(words)
+            rows.append((100 * base + copy, " ".join(text)))
+    found = bottom_k.Classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    lists, members = found.lists()
+    # Components that no round has made: some of two classes, some of one.
+    roots = members.select("c", F.when(F.pmod(F.xxhash64("c"), F.lit(3)) == 0, F.lit(-1)).otherwise(F.col("c")).alias("root"))
+    got = [tuple(r) for r in bottom_k._open_pairs(lists, members, roots).collect()]
+    known = {r["c"]: r for r in members.join(roots, "c").collect()}
+    keys = {}
+    for r in lists.collect():
+        keys.setdefault(r["c"], set()).add(r["key"])
+
+    def may(a, b):
+        differ = sum(bin((a[w] ^ b[w]) & (2**64 - 1)).count("1") for w in bottom_k.BITS)
+        return 100 * min(a["n"], b["n"]) >= 80 * max(a["n"], b["n"]) and 180 * differ <= 20 * (a["n"] + b["n"])
+
+    want = {
+        (a, b) for a in keys for b in keys
+        if a < b and keys[a] & keys[b] and known[a]["root"] != known[b]["root"] and may(known[a], known[b])
+    }
+    shared = sum(len(keys[a] & keys[b]) for a, b in want)
+    assert set(got) == want and len(got) == len(want) and shared > 5 * len(want) > 0
